@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from civicgrain.llm.components import group_records
+from civicgrain.llm.leaks import find_leaks
 from civicgrain.llm.near_duplicates import near_duplicate_pairs
+from civicgrain.llm.repeated_lines import recurring_lines, without_recurring_lines
 from civicgrain.sources.tables import table
 
 
@@ -12,5 +15,51 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicate_pairs(table(spark, folder, "documents"), width=3, threshold=0.7)
 
 
-QUERIES = {"p2_found": p2_found}
-ORACLE: dict[str, str] = {}
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return group_records(table(spark, folder, "signal_matches"), table(spark, folder, "signals"))
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return recurring_lines(table(spark, folder, "documents"))
+
+
+def p7_cleaned(spark: SparkSession, folder: str) -> DataFrame:
+    return without_recurring_lines(table(spark, folder, "documents"))
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+    return found.where("exact_words >= 12").select("doc_id", "item_id").distinct()
+
+
+QUERIES = {"p2_found": p2_found, "p5_found": p5_found, "p7_found": p7_found, "p7_cleaned": p7_cleaned, "p8_found": p8_found}
+
+_LINES = r"""
+WITH lines AS (
+  SELECT doc_id, body_id, u.i - 1 AS line_no, u.line AS line FROM (
+    SELECT doc_id, body_id, unnest(list_zip(string_split(text, chr(10)), range(1, len(string_split(text, chr(10))) + 1))) AS p FROM documents WHERE text IS NOT NULL AND body_id IS NOT NULL
+  ), LATERAL (SELECT p[1] AS line, p[2] AS i) u
+), keyed AS (
+  SELECT doc_id, body_id, line_no, lower(regexp_replace(line, '[^\p{L}]+', '', 'g')) AS k FROM lines WHERE length(regexp_replace(line, '^\s+|\s+$', '', 'g')) >= 25
+), docs AS (SELECT body_id, count(*) AS d FROM documents WHERE text IS NOT NULL GROUP BY body_id),
+common AS (
+  SELECT body_id, k FROM keyed JOIN docs USING (body_id) GROUP BY body_id, k, d HAVING count(DISTINCT doc_id) >= 6 AND count(DISTINCT doc_id) * 100 >= d * 15
+), hit AS (SELECT DISTINCT doc_id, line_no FROM keyed JOIN common USING (body_id, k))
+"""
+
+ORACLE: dict[str, str] = {
+    "p5_found": """
+WITH RECURSIVE latest AS (
+  SELECT least(left_id, right_id) AS a, greatest(left_id, right_id) AS b, score,
+    row_number() OVER (PARTITION BY least(left_id, right_id), greatest(left_id, right_id) ORDER BY matched_at DESC NULLS LAST, match_id DESC) AS n
+  FROM signal_matches WHERE left_id <> right_id
+), good AS (
+  SELECT a, b FROM latest WHERE n = 1 AND score >= 0.5 AND a IN (SELECT signal_id FROM signals) AND b IN (SELECT signal_id FROM signals)
+), e AS (SELECT a, b FROM good UNION SELECT b, a FROM good),
+r(v, g) AS (SELECT a, a FROM e UNION SELECT e.b, r.g FROM r JOIN e ON r.v = e.a WHERE r.g < e.b)
+SELECT v AS signal_id, min(g) AS group_id FROM r GROUP BY v""",
+    "p7_found": _LINES + "SELECT doc_id, CAST(line_no AS INTEGER) AS line_no FROM hit",
+    "p7_cleaned": _LINES
+    + """, kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY line_no) AS text FROM lines ANTI JOIN hit USING (doc_id, line_no) GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL WHEN d.body_id IS NULL THEN d.text ELSE coalesce(k.text, '') END AS text FROM documents d LEFT JOIN kept k USING (doc_id)""",
+}
