@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from civicgrain.llm.components import group_records
 from civicgrain.llm.leaks import find_leaks
 from civicgrain.llm.near_duplicates import near_duplicate_pairs
+from civicgrain.llm.personal_information import find_personal_information, redact
 from civicgrain.llm.repeated_lines import recurring_lines, without_recurring_lines
 from civicgrain.sources.tables import table
 
@@ -32,7 +33,15 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.where("exact_words >= 12").select("doc_id", "item_id").distinct()
 
 
-QUERIES = {"p2_found": p2_found, "p5_found": p5_found, "p7_found": p7_found, "p7_cleaned": p7_cleaned, "p8_found": p8_found}
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return find_personal_information(table(spark, folder, "documents")).select("doc_id", "pii_kind", "found").distinct()
+
+
+def p10_redacted(spark: SparkSession, folder: str) -> DataFrame:
+    return redact(table(spark, folder, "documents"))
+
+
+QUERIES = {"p2_found": p2_found, "p5_found": p5_found, "p7_found": p7_found, "p7_cleaned": p7_cleaned, "p8_found": p8_found, "p10_found": p10_found, "p10_redacted": p10_redacted}
 
 _LINES = r"""
 WITH lines AS (
