@@ -3,15 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from civicgrain.llm.components import group_records
 from civicgrain.llm.leaks import find_leaks
 from civicgrain.llm.near_duplicates import near_duplicate_pairs
 from civicgrain.llm.personal_information import find_personal_information, redact
 from civicgrain.llm.repeated_lines import recurring_lines, without_recurring_lines
+from civicgrain.llm.scan_noise import read_pages
 from civicgrain.sources.tables import table
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return read_pages(table(spark, folder, "documents")).select("doc_id", F.inline("noise")).distinct()
+
+
+def p1_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    return read_pages(table(spark, folder, "documents")).select("doc_id", "text")
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicate_pairs(table(spark, folder, "documents"), width=3, threshold=0.7)
 
@@ -41,7 +51,7 @@ def p10_redacted(spark: SparkSession, folder: str) -> DataFrame:
     return redact(table(spark, folder, "documents"))
 
 
-QUERIES = {"p2_found": p2_found, "p5_found": p5_found, "p7_found": p7_found, "p7_cleaned": p7_cleaned, "p8_found": p8_found, "p10_found": p10_found, "p10_redacted": p10_redacted}
+QUERIES = {"p1_found": p1_found, "p1_repaired": p1_repaired, "p2_found": p2_found, "p5_found": p5_found, "p7_found": p7_found, "p7_cleaned": p7_cleaned, "p8_found": p8_found, "p10_found": p10_found, "p10_redacted": p10_redacted}
 
 _LINES = r"""
 WITH lines AS (
