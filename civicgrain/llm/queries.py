@@ -15,7 +15,7 @@ from civicgrain.sources.tables import table
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    return read_pages(table(spark, folder, "documents")).select("doc_id", F.inline("noise")).distinct()
+    return read_pages(table(spark, folder, "documents"), repair=False).select("doc_id", F.inline("noise")).distinct()
 
 
 def p1_repaired(spark: SparkSession, folder: str) -> DataFrame:
