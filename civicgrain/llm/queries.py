@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicgrain.llm.components import group_records
+from civicgrain.llm.entity_match import match_bodies
 from civicgrain.llm.leaks import find_leaks
+from civicgrain.llm.mixing import mix_sources, tokenizer
+from civicgrain.llm.name_variants import spelling_pairs
 from civicgrain.llm.near_duplicates import near_duplicate_pairs
 from civicgrain.llm.personal_information import find_personal_information, redact
 from civicgrain.llm.repeated_lines import recurring_lines, without_recurring_lines
@@ -26,10 +29,22 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicate_pairs(table(spark, folder, "documents"), width=3, threshold=0.7)
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_pairs(table(spark, folder, "signals"), table(spark, folder, "documents"))
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return group_records(table(spark, folder, "signal_matches"), table(spark, folder, "signals"))
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return match_bodies(table(spark, folder, "bodies"), table(spark, folder, "registry_units")).select("body_id", "unit_id").distinct()
+
+
+def p6_confidence(spark: SparkSession, folder: str) -> DataFrame:
+    return match_bodies(table(spark, folder, "bodies"), table(spark, folder, "registry_units"))
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return recurring_lines(table(spark, folder, "documents"))
 
@@ -43,6 +58,14 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.where("exact_words >= 12").select("doc_id", "item_id").distinct()
 
 
+def p9_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"), tokenizer())[0]
+
+
+def p9_report(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"), tokenizer())[1]
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return find_personal_information(table(spark, folder, "documents")).select("doc_id", "pii_kind", "found").distinct()
 
@@ -51,7 +74,10 @@ def p10_redacted(spark: SparkSession, folder: str) -> DataFrame:
     return redact(table(spark, folder, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_repaired": p1_repaired, "p2_found": p2_found, "p5_found": p5_found, "p7_found": p7_found, "p7_cleaned": p7_cleaned, "p8_found": p8_found, "p10_found": p10_found, "p10_redacted": p10_redacted}
+QUERIES = {
+    query.__name__: query
+    for query in (p1_found, p1_repaired, p2_found, p4_found, p5_found, p6_found, p6_confidence, p7_found, p7_cleaned, p8_found, p9_mix, p9_report, p10_found, p10_redacted)
+}
 
 _LINES = r"""
 WITH lines AS (
