@@ -37,15 +37,16 @@ _GIV = r"[A-ZÀ-Þ][\w|~]*[\wà-ÿ]" + _BREAK
 _GAP = r"(?:[^\S\n]+|[^\S\n]*\n[^\S\n]*)"  # a blank line ends a name
 _MID = "(?:" + _GAP + r"[A-Z]\.)"
 EMAIL = re.compile(r"(?<![\w.+-])[\w+-]+(?:\.[\w+-]+)*@[\w-]+(?:\.[\w-]+)+")
-PHONE = re.compile(r"(?<![\w.$#-])(?:\+?1[ .-])?(?:\(\d{3}\)\s?|\d{3}[ ./-])\d{3}[ .-]\d{4}(?![\w-]|\.\d)|(?<![\w.$#/-])(?<!\d )\d{3}-\d{4}(?![\w-]|\.\d)")
-NUMBER = re.compile(r"(?<![\w.$-])(?:\d{3}([-. ])\d{2}\1\d{4}|\d{3} \d{3} \d{3}|\d{9}|[A-Z]{1,2}-?\d{5,9})(?![\w-]|\.\d)")
+_LOCAL = re.compile(r"[^\s@(<\[,;:]*$")
+PHONE = re.compile(r"(?=[+(\d])(?<![\w.$#-])(?:\+?1[ .-])?(?:\(\d{3}\)\s?|\d{3}[ ./-])\d{3}[ .-]\d{4}(?![\w-]|\.\d)|(?=\d)(?<![\w.$#/-])(?<!\d )\d{3}-\d{4}(?![\w-]|\.\d)")
+NUMBER = re.compile(r"(?=[A-Z\d])(?<![\w.$-])(?:\d{3}([-. ])\d{2}\1\d{4}|\d{3} \d{3} \d{3}|\d{9}|[A-Z]{1,2}-?\d{5,9})(?![\w-]|\.\d)")
 ADDRESS = re.compile(
-    r"(?<![\w.$/-])(?:\d{1,5}[A-Z]?\s+(?:[NSEW]\.?\s+)?(?:[A-Z][\w'’]+\s+){1,3}?(?:" + _STREETS + r")\b\.?|(?:P\.?\s?O\.?|Post Office)\s+Box\s+\d+)"
+    r"(?=[\dP])(?<![\w.$/-])(?:\d{1,5}[A-Z]?\s+(?:[NSEW]\.?\s+)?(?:[A-Z][\w'’]+\s+){1,3}?(?:" + _STREETS + r")\b\.?|(?:P\.?\s?O\.?|Post Office)\s+Box\s+\d+)"
     r"(?:,?\s+(?:(?:Apt|Apartment|Unit|Suite|Ste|Floor|Fl|Rm|Room)\.?\s*#?\s*|#\s?)[\w-]+)?"
     r"(?:,\s+(?:[A-Z][\w'’.-]+\s+){0,2}[A-Z][\w'’-]+,\s+(?:NY|N\.Y\.|New York)(?:\s+\d{5}(?:-\d{4})?)?)?"
 )
 NAME = re.compile(
-    r"(?:\b(?P<title>" + _TITLES + r")\b\.?\s+)?"
+    r"(?=[A-ZÀ-Þ])(?:\b(?P<title>" + _TITLES + r")\b\.?\s+)?"
     r"(?P<name>(?<![\w'’@.-])(?:"
     r"(?P<g1>" + _GIV + ")" + _MID + "?" + _GAP + "(?P<s1>" + _SUR + ")"
     r"|(?:[A-Z]\.\s*){1,2}(?P<s2>" + _SUR + ")"
@@ -62,8 +63,11 @@ ROUNDS = 3
 
 def _around(text: str, start: int, end: int) -> tuple[str, str]:
     """The two tokens before and after a piece, digits made equal."""
-    left = _SIDE.findall(EMAIL.sub("@", text[max(0, start - 40) : start]))[-2:]
-    right = _SIDE.findall(EMAIL.sub("@", text[end : end + 60]))[:2]
+    before, after = text[max(0, start - 40) : start], text[end : end + 60]
+    if "@" in before:
+        before = EMAIL.sub("@", before)
+    after = EMAIL.sub("@", after)[:30] if "@" in after else after[:30]
+    left, right = _SIDE.findall(before)[-2:], _SIDE.findall(after)[:2]
     plain = lambda w: "0" if w[0].isdigit() else w.lower()
     return " ".join(map(plain, left)), " ".join(map(plain, right))
 
@@ -80,8 +84,12 @@ def candidates_of(text: str) -> list[tuple[str, str, str, str, str, bool, int, i
         taken.append((start, end))
         out.append((kind, _flat(text[start:end]), *_around(text, start, end), instance, certain, start, end))
 
-    for m in EMAIL.finditer(text):
-        add("email", *m.span(), m[0].lower(), True)
+    at = text.find("@")
+    while at >= 0:  # from sign to sign: trying every word for an address is slow
+        m = EMAIL.search(text, at - len(_LOCAL.search(text[max(0, at - 80) : at])[0]), at + 120)
+        if m and m.start() < at < m.end():
+            add("email", *m.span(), m[0].lower(), True)
+        at = text.find("@", at + 1)
     for m in ADDRESS.finditer(text):
         start, end = m.span()
         # a sentence's own full stop doesn't belong to a street name written out or cut short
