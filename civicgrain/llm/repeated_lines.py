@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from civicgrain.llm.storage import saved
 
 MIN_LENGTH, MIN_DOCUMENTS, MIN_PERCENT = 25, 6, 15
-_COUNTERS = 4096  # of a summary; fewer only make more candidates, none is lost
+_COUNTERS = 4096  # of a summary; where they don't suffice, all lines of the body are counted
 _BROADCAST_ROWS = 300_000  # candidates of 30 bytes or so; beyond it the join shuffles
 _BLANK = " \t\r\f\v             　"
 
@@ -35,6 +35,7 @@ def _summaries(documents: DataFrame, least: int) -> DataFrame:
 
     A counter falls short of the true number of documents by at most the slack of its
     summary, and sums of counters by at most the sum of slacks: summaries merge by addition.
+    So does the count of a line that a summary doesn't hold at all.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,16 +76,23 @@ def _enough(n: Column, docs: Column, least: int, percent: int) -> Column:
 def recurring_lines(documents: DataFrame, min_length: int = MIN_LENGTH, min_documents: int = MIN_DOCUMENTS, min_percent: int = MIN_PERCENT) -> DataFrame:
     """(doc_id, line_no) of lines that stand in at least ``min_documents`` and ``min_percent`` percent of a body's texts.
 
-    Summaries name the candidates, a second pass counts exactly in how many documents each
+    Summaries name the candidates (in a body whose summaries ran too short, all of its lines
+    are), a second pass counts exactly in how many documents each
     one stands. Rows with a null text or body are neither counted nor returned; an empty
     text is a text of one empty line. A line twice in a document counts once and is returned
     twice. Lines without any letter are the same line. Columns of other names don't matter.
     """
     merged = saved(_summaries(documents, min_length).groupBy("body_id", "key").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.sum("slack").alias("slack")))
     totals = merged.where("key is null").select("body_id", "docs", "slack")
+    # a line no summary holds stands in at most as many documents as the slack: where that could be enough, every line of the body is a candidate
+    short = totals.where(_enough(F.col("slack"), F.col("docs"), min_documents, min_percent)).select("body_id", "docs")
     hopeful = merged.where("key is not null").select("body_id", "key", "n").join(totals, "body_id").where(_enough(F.col("n") + F.col("slack"), F.col("docs"), min_documents, min_percent))
     candidates = saved(hopeful.select("body_id", "key", "docs"))
-    standing = saved(_lines(documents, min_length).join(_bounded(candidates), ["body_id", "key"]))
+    lines = _lines(documents, min_length)
+    standing = lines.join(_bounded(candidates), ["body_id", "key"])
+    if not short.isEmpty():
+        standing = standing.join(short.select("body_id"), "body_id", "left_anti").unionByName(lines.join(short, "body_id"))
+    standing = saved(standing)
     exact = standing.groupBy("body_id", "key", "docs").agg(F.countDistinct("doc_id").alias("n"))
     confirmed = exact.where(_enough(F.col("n"), F.col("docs"), min_documents, min_percent)).select("body_id", "key")
     return standing.join(confirmed, ["body_id", "key"], "left_semi").select("doc_id", "line_no")
