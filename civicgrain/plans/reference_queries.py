@@ -72,7 +72,7 @@ _PASSAGES = _LINES + f""", marked AS (SELECT doc_id, line_no, c, CASE WHEN line_
 island AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY line_no) AS g FROM marked),
 last AS (SELECT doc_id, max(line_no) AS m FROM raw GROUP BY doc_id),
 frame AS (SELECT doc_id, g, greatest(min(line_no) - 2, 0) AS s, least(max(line_no) + 3, any_value(m)) AS e, string_agg(c, chr(10) ORDER BY line_no) AS said FROM island JOIN last USING (doc_id) GROUP BY doc_id, g),
-stripped AS (SELECT doc_id, line_no, trim(line, ' ' || chr(9) || chr(13) || chr(160)) AS x FROM raw),
+stripped AS (SELECT doc_id, line_no, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13) || chr(160)) AS x FROM raw),
 told AS (SELECT f.doc_id, f.s, f.e, any_value(f.said) AS said, string_agg(x, ' ' ORDER BY line_no) AS t FROM frame f JOIN stripped r ON r.doc_id = f.doc_id AND r.line_no BETWEEN f.s AND f.e AND x <> '' GROUP BY f.doc_id, f.s, f.e),
 passages AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1 AS passage_index, s, e, t, said FROM told WHERE length(t) >= 25)
 """

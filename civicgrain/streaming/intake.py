@@ -2,31 +2,29 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from civicgrain.operators.tables import insert_absent
 
 
-def new_documents(spark: SparkSession, folder: str, schema: StructType, late: str = "7 days") -> DataFrame:
-    """A stream of documents with each address once within the time documents may come late."""
-    return spark.readStream.schema(schema).parquet(folder).withColumn("fetched_ts", _ts()).withWatermark("fetched_ts", late).dropDuplicatesWithinWatermark(["source_url"])
-
-
-def _ts():
-    from pyspark.sql import functions as F
-
-    return F.coalesce(F.col("fetched_at").cast("timestamp"), F.timestamp_seconds(F.lit(0)))
+def new_documents(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """A stream of the documents of a folder."""
+    return spark.readStream.schema(schema).parquet(folder)
 
 
 def store(stream: DataFrame, table: str, checkpoint: str):
-    """Append the addresses the table lacks, all that is there, then stop. Re-running adds nothing."""
+    """Append the addresses the table lacks, all that is there, then stop. Re-running adds nothing.
+
+    Addresses are compared with the table itself and not within a watermark: a document
+    fetched very late, or at an unknown time, would be dropped by one.
+    """
 
     def batch(rows: DataFrame, _: int) -> None:
-        spark = rows.sparkSession
         try:
-            old = spark.read.parquet(table)
-        except Exception:  # no table yet
+            old = rows.sparkSession.read.parquet(table)
+        except AnalysisException:  # no table yet
             old = rows.limit(0)
         insert_absent(old, rows, ["source_url"], rows["doc_id"]).write.mode("append").parquet(table)
 
