@@ -14,19 +14,19 @@ from civicgrain.llm.near_duplicates import near_duplicate_pairs
 from civicgrain.llm.personal_information import find_personal_information, redact
 from civicgrain.llm.repeated_lines import recurring_lines, without_recurring_lines
 from civicgrain.llm.scan_noise import read_pages
-from civicgrain.sources.tables import table
+from civicgrain.sources.tables import table, texts
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    return read_pages(table(spark, folder, "documents"), repair=False).select("doc_id", F.inline("noise")).distinct()
+    return read_pages(texts(spark, folder), repair=False).select("doc_id", F.inline("noise")).distinct()
 
 
 def p1_repaired(spark: SparkSession, folder: str) -> DataFrame:
-    return read_pages(table(spark, folder, "documents")).select("doc_id", "text")
+    return read_pages(texts(spark, folder)).select("doc_id", "text")
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicate_pairs(table(spark, folder, "documents"), width=3, threshold=0.7)
+    return near_duplicate_pairs(texts(spark, folder), width=3, threshold=0.7)
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -46,32 +46,32 @@ def p6_confidence(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
-    return recurring_lines(table(spark, folder, "documents"))
+    return recurring_lines(texts(spark, folder))
 
 
 def p7_cleaned(spark: SparkSession, folder: str) -> DataFrame:
-    return without_recurring_lines(table(spark, folder, "documents"))
+    return without_recurring_lines(texts(spark, folder))
 
 
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
-    found = find_leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+    found = find_leaks(texts(spark, folder), table(spark, folder, "eval_items"))
     return found.where("exact_words >= 12").select("doc_id", "item_id").distinct()
 
 
 def p9_mix(spark: SparkSession, folder: str) -> DataFrame:
-    return mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"), tokenizer())[0]
+    return mix_sources(texts(spark, folder), table(spark, folder, "mix_targets"), tokenizer())[0]
 
 
 def p9_report(spark: SparkSession, folder: str) -> DataFrame:
-    return mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"), tokenizer())[1]
+    return mix_sources(texts(spark, folder), table(spark, folder, "mix_targets"), tokenizer())[1]
 
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
-    return find_personal_information(table(spark, folder, "documents")).select("doc_id", "pii_kind", "found").distinct()
+    return find_personal_information(texts(spark, folder)).select("doc_id", "pii_kind", "found").distinct()
 
 
 def p10_redacted(spark: SparkSession, folder: str) -> DataFrame:
-    return redact(table(spark, folder, "documents"))
+    return redact(texts(spark, folder))
 
 
 QUERIES = {
