@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicgrain.functions.text import any_keyword, matching_keys, without_phrases
+from civicgrain.functions.text import any_keyword, matching_keys, plain_blanks, without_phrases
 
 BEFORE, AFTER, LEAST = 2, 3, 25
 
@@ -39,7 +39,7 @@ class Vocabulary:
     def clean(self, line: Column) -> Column:
         """The line in lower case, skipped lines empty, phrases to ignore taken out."""
         skipped = line.rlike("(?i)" + "|".join(f"(?:{s})" for s in self.skips)) if self.skips else F.lit(False)
-        return F.when(skipped, F.lit("")).otherwise(without_phrases(F.lower(line), self.negatives))
+        return F.when(skipped, F.lit("")).otherwise(without_phrases(F.lower(plain_blanks(line)), self.negatives))
 
 
 def keyword_lines(documents: DataFrame, words: Vocabulary) -> DataFrame:

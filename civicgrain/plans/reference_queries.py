@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from civicgrain.functions import dates, text
 from civicgrain.operators import classify, projects, scan, tables
 from civicgrain.sources.files import needs_ocr
-from civicgrain.sources.tables import table
+from civicgrain.sources.tables import table, texts
 
 VOCABULARY = scan.Vocabulary(
     trades={"roofing": ["roof replacement", "roof leak"], "hvac": ["boiler", "ductwork", "unit ventilator", "chiller"], "envelope": ["window replacement", "lintel", "masonry", "curtain wall", "skylight"], "athletics": ["track resurfacing", "turf", "playground"]},
@@ -64,7 +64,7 @@ def query(sql: str | None = None):
 
 @query(_LINES + f"SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, {_sql_keys('c', VOCABULARY.trades)} AS trades, {_sql_keys('c', VOCABULARY.stages)} AS stages, {_sql_keys('c', _OWN)} AS triggers FROM hits")
 def keyword_line_hits(spark: SparkSession, folder: str) -> DataFrame:
-    rows = scan.keyword_lines(_t(spark, folder, "documents"), VOCABULARY)
+    rows = scan.keyword_lines(texts(spark, folder), VOCABULARY)
     return rows.select("doc_id", "line_no", *(F.array_join(c, ",").alias(c) for c in ("trades", "stages", "triggers")))
 
 
@@ -80,7 +80,7 @@ passages AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY s) -
 
 @query(_PASSAGES + f"SELECT doc_id, CAST(passage_index AS INTEGER) AS passage_index, CAST(s AS INTEGER) AS start_line, CAST(e AS INTEGER) AS end_line, t AS passage_text, {_sql_keys('said', VOCABULARY.trades)} AS trades FROM passages")
 def keyword_passages(spark: SparkSession, folder: str) -> DataFrame:
-    rows = scan.keyword_passages(_t(spark, folder, "documents"), VOCABULARY)
+    rows = scan.keyword_passages(texts(spark, folder), VOCABULARY)
     return rows.select("doc_id", "passage_index", "start_line", "end_line", "passage_text", F.array_join("trades", ",").alias("trades"))
 
 
@@ -88,12 +88,12 @@ def keyword_passages(spark: SparkSession, folder: str) -> DataFrame:
 tidy AS (SELECT doc_id, passage_no, trim(regexp_replace(p, '\s+', ' ', 'g')) AS p FROM raw), clean AS (SELECT doc_id, passage_no, {_sql_clean('p')} AS c FROM tidy WHERE length(p) > 25)
 SELECT doc_id, CAST(passage_no AS INTEGER) AS passage_no, {_sql_keys('c', VOCABULARY.trades)} AS trades FROM clean WHERE {_sql_any('c', VOCABULARY.telling())}""")
 def blank_passages(spark: SparkSession, folder: str) -> DataFrame:
-    return scan.blank_passages(_t(spark, folder, "documents"), VOCABULARY).select("doc_id", "passage_no", F.array_join("trades", ",").alias("trades"))
+    return scan.blank_passages(texts(spark, folder), VOCABULARY).select("doc_id", "passage_no", F.array_join("trades", ",").alias("trades"))
 
 
 @query(_LINES + f"SELECT coalesce(lower(trim(source)), '') AS source, count(DISTINCT doc_id) AS documents, count(*) AS lines FROM hits JOIN documents USING (doc_id) GROUP BY 1")
 def keyword_counts_by_source(spark: SparkSession, folder: str) -> DataFrame:
-    documents = _t(spark, folder, "documents")
+    documents = texts(spark, folder)
     hits = scan.keyword_lines(documents, VOCABULARY).groupBy("doc_id").agg(F.count("*").alias("n"))
     source = documents.select("doc_id", F.coalesce(F.lower(F.trim("source")), F.lit("")).alias("source"))
     return hits.join(source, "doc_id").groupBy("source").agg(F.count("*").alias("documents"), F.sum("n").alias("lines"))
@@ -339,7 +339,7 @@ def union_dedupe_first(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def chunk_pack(spark: SparkSession, folder: str) -> DataFrame:
-    rows = classify.chunks(_t(spark, folder, "documents"), 2000)
+    rows = classify.chunks(texts(spark, folder), 2000)
     return rows.select("doc_id", "chunk_index", F.length("chunk").alias("size"))
 
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from civicgrain.operators.timestamps import resolve_meeting_moments
-from civicgrain.sources.tables import table
+from civicgrain.sources.tables import texts
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    return resolve_meeting_moments(table(spark, folder, "documents")).distinct()
+    return resolve_meeting_moments(texts(spark, folder)).distinct()
 
 
 QUERIES = {"p3_found": p3_found}
