@@ -55,6 +55,21 @@ def test_near_duplicates_of_common_phrases(spark):
     assert got <= want and len(got) >= 0.99 * len(want)
 
 
+def test_near_duplicates_of_a_large_family(spark):
+    """200 versions that share their edits in groups of ten: nearly all they have in common is on long lists."""
+    rng = random.Random(21)
+    base, passages = random_text(rng, 500, 10**6).split(), [random_text(rng, 41, 10**6).split() for _ in range(20)]
+    texts = []
+    for i in range(200):
+        at = rng.randrange(300, 440)
+        own = [f"own{i}x{k}" for k in range(5)]
+        texts.append(" ".join(base[:100] + passages[i // 10] + base[141:at] + own + base[at + 5 :]))
+    grams = [{tuple(w[k : k + 3]) for k in range(len(w) - 2)} for w in map(words, texts)]
+    want = {(i, j) for j in range(200) for i in range(j) if len(grams[i] & grams[j]) >= 0.7 * len(grams[i] | grams[j])}
+    got = {(r.doc_a, r.doc_b) for r in near_duplicates.near_duplicate_pairs(frame(spark, list(enumerate(texts))), 3, 0.7).collect()}
+    assert len(want) == 19900 and got <= want and len(got) >= 0.999 * len(want)
+
+
 def test_large_class_of_copies_is_a_star(spark):
     rows = [(i, "one two three four five six") for i in range(30)]
     got = {(r.doc_a, r.doc_b) for r in near_duplicates.near_duplicate_pairs(frame(spark, rows), 3, 0.7, expand=10).collect()}
