@@ -70,6 +70,16 @@ def test_near_duplicates_of_a_large_family(spark):
     assert len(want) == 19900 and got <= want and len(got) >= 0.999 * len(want)
 
 
+def test_near_duplicates_contained_in_longer_texts(spark):
+    """The keys hold for a text that is part of the other one at a similarity just above the threshold."""
+    rng = random.Random(22)
+    texts = [random_text(rng, 502, 10**6) for _ in range(400)]
+    rows = [(2 * i, t) for i, t in enumerate(texts)] + [(2 * i + 1, " ".join(t.split()[:354])) for i, t in enumerate(texts)]
+    _, pairs = near_duplicates.near_duplicate_classes(frame(spark, rows), 3, 0.7, longest=1)  # no lists, only keys
+    got = {(r.a, r.b) for r in pairs.collect()}
+    assert got <= {(2 * i, 2 * i + 1) for i in range(400)} and len(got) >= 0.99 * 400
+
+
 def test_large_class_of_copies_is_a_star(spark):
     rows = [(i, "one two three four five six") for i in range(30)]
     got = {(r.doc_a, r.doc_b) for r in near_duplicates.near_duplicate_pairs(frame(spark, rows), 3, 0.7, expand=10).collect()}
