@@ -40,6 +40,8 @@ _COMPOUND = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)+")
 _TOKEN = re.compile(r"[^\W_](?:[^\W_]|[|~'’`^*•·](?=[^\W_]))*")
 _SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_] ){2,}[^\W\d_](?![^\W_])")
 _BREAK = re.compile(r"([^\W_]+(?:[-'’|~][^\W_]+)*)[-‐¬\xad]\s*$")
+_LINE_END = re.compile(r"[-‐¬\xad]\s*\n\s*")
+_LAST_WORD = re.compile(r"[^\W\d_]+\Z")
 _NUMBER_LINE = re.compile(r"^\W*(?:(?:page|pg|pág|página|p)\b\W*)?(?:\d{1,4}|[ivxlc]{1,6})(?:\s*(?:of|/|de)\s*\d{1,4})?\W*$", re.I)
 
 
@@ -235,11 +237,12 @@ def _usual(token: str, word: str) -> bool:
 
 
 class Model:
-    def __init__(self, counts: dict[str, int], compounds: set[str], editor: Editor, furniture: np.ndarray) -> None:
-        self.counts, self.compounds, self.editor, self.furniture = counts, compounds, editor, furniture
+    def __init__(self, counts: dict[str, int], compounds: set[str], editor: Editor, furniture: np.ndarray, pieces: dict[str, int]) -> None:
+        self.counts, self.compounds, self.editor, self.furniture, self.pieces = counts, compounds, editor, furniture, pieces
         self.prefixes = {"-".join(c.split("-")[:k]) for c in compounds for k in range(2, c.count("-") + 2)}
         self.repairs: dict[str, str | None] = {}
         self.clean: set[str] = set()  # tokens as they stand that need no closer look
+        self._halves: set[str] | None = None
         self._learn([w for w in counts if len(w) > 1])
 
     def _learn(self, tokens: list[str]) -> None:
@@ -257,6 +260,26 @@ class Model:
     def known(self, word: str) -> bool:
         return word in self.counts and word not in self.repairs
 
+    def alone(self, word: str) -> int:
+        """How often the word stands, not counting the pieces of words broken at a line's end."""
+        return self.counts.get(word, 0) - self.pieces.get(word, 0)
+
+    def split_word(self, left: str, right: str) -> bool:
+        """Whether the two are the halves of a word far commoner than the rarer of them."""
+        whole = self.counts.get(left + right, 0)
+        return whole >= _LEAST and whole >= _RATIO * min(self.alone(left), self.alone(right))
+
+    @property
+    def halves(self) -> set[str]:
+        """All strings that may be the rarer half of a split word; made where it is used, not sent."""
+        if self._halves is None:
+            out: set[str] = set()
+            for word, n in self.counts.items():
+                if n >= _LEAST and "-" not in word:
+                    out.update(half for i in range(1, len(word)) for half in (word[:i], word[i:]) if _RATIO * self.alone(half) <= n)
+            self._halves = out
+        return self._halves
+
     def prepare(self, texts: list[str]) -> None:
         """Ask the editor about all new words of a batch at once."""
         if len(self.repairs) + len(self.clean) > 1_500_000:  # memory bound; words are asked about again
@@ -272,7 +295,7 @@ class Model:
         self._learn([t for t in low if 1 < len(t) < 40 and t not in self.counts and t not in self.repairs and any(c.isalpha() for c in t)])
         for raw, found in pieces.items():
             bare = len(raw) == 1 and raw.isalpha() and raw not in "aAyYoOeEuUI"  # may be part of a spaced-out word
-            part = any(t.islower() and t.isalpha() and t not in self.counts for t in found)  # may be part of a split word
+            part = any(t.lower() in self.halves for t in found)  # may be part of a split word
             if not bare and not part and all(self.fix(t) is None for t in found):
                 self.clean.add(raw)
 
@@ -320,11 +343,11 @@ class Model:
         if " " in line:
             line = _SPACED.sub(close, line)
         tokens = line.lower().split(" ")
-        if len(tokens) > 1 and any(t.isalpha() and t not in self.counts for t in tokens):
+        if len(tokens) > 1 and any(t.rstrip(".,;:") in self.halves for t in tokens):
             parts = line.split(" ")
             for i in range(len(parts) - 1):
                 x, y = parts[i].lower(), parts[i + 1].lower().rstrip(".,;:")
-                if x.isalpha() and y.isalpha() and (x not in self.counts or y not in self.counts) and len(x) + len(y) > 4 and self.counts.get(x + y, 0) >= _LEAST and parts[i + 1][0].islower():
+                if x.isalpha() and y.isalpha() and len(x) + len(y) > 4 and parts[i + 1][0].islower() and self.split_word(x, y):
                     parts[i], parts[i + 1], changed = parts[i] + parts[i + 1], "", True
             line = " ".join(p for k, p in enumerate(parts) if p or not changed)
         return _TOKEN.sub(mend, line), changed
@@ -392,17 +415,26 @@ class Model:
 
 
 def _counted(documents: DataFrame) -> DataFrame:
+    """(word, n, pieces): how often each word stands, and how often of that beside a hyphen at a line's end."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
+        pieces: Counter[str] = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                counts.update(text.lower().split())  # taken apart once for each distinct token
+                low = text.lower()
+                counts.update(low.split())  # taken apart once for each distinct token
+                for end in _LINE_END.finditer(low):
+                    left, right = _LAST_WORD.search(low, max(0, end.start() - 40), end.start()), WORDS.match(low, end.end())
+                    if left and right:
+                        pieces.update((left[0], right[0]))
             if len(counts) > 1_000_000:
-                yield rows(counts)
+                yield rows(counts, pieces)
                 counts.clear()
-        yield rows(counts)
+                pieces.clear()
+        yield rows(counts, pieces)
 
-    def rows(tokens: Counter[str]) -> pa.RecordBatch:
+    def rows(tokens: Counter[str], pieces: Counter[str]) -> pa.RecordBatch:
         counts: Counter[str] = Counter()
         for token, n in tokens.items():
             for w in WORDS.findall(token):
@@ -410,9 +442,9 @@ def _counted(documents: DataFrame) -> DataFrame:
             if "-" in token:
                 for w in _COMPOUND.findall(token):
                     counts[w] += n
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64()), pa.array([pieces[w] for w in counts], pa.int64())], names=["word", "n", "pieces"])
 
-    return documents.select("text").where("text is not null").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return documents.select("text").where("text is not null").mapInArrow(run, "word string, n long, pieces long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("pieces").alias("pieces"))
 
 
 def train(documents: DataFrame, lexicon: int = LEXICON_WORDS, words: int = TRAINING_WORDS, sample: int = TRAINING_DOCUMENTS) -> Model:
@@ -421,11 +453,12 @@ def train(documents: DataFrame, lexicon: int = LEXICON_WORDS, words: int = TRAIN
     on the ``sample`` documents of smallest hash; these bounds hold whatever the corpus' size."""
     top = _counted(documents).where("n >= 3").orderBy(F.desc("n"), "word").limit(lexicon).collect()
     counts = {r["word"]: r["n"] for r in top}
+    pieces = {r["word"]: r["pieces"] for r in top if r["pieces"]}
     compounds = {w for w in counts if "-" in w}
     plain = [w for w in counts if "-" not in w and len(w) > 3 and counts[w] >= _LEAST][:words]
     texts = [r["text"] for r in documents.where("text is not null").select("text", F.xxhash64("doc_id").alias("h")).orderBy("h").limit(sample).collect()]
     editor = Editor.train(plain) if plain else Editor([KEEP, DELETE], np.zeros((_HASH, 2), np.float32))
-    return Model(counts, compounds, editor, _train_furniture(texts))
+    return Model(counts, compounds, editor, _train_furniture(texts), pieces)
 
 
 def read_pages(documents: DataFrame, model: Model | None = None, repair: bool = True) -> DataFrame:

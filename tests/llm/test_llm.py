@@ -275,6 +275,16 @@ def test_scan_noise(spark):
     assert "Page" not in text[0] and "modernization of the library" in text[0] and text[901] == "" and 900 not in text
 
 
+def test_split_words_whose_halves_recur(spark):
+    """Halves that stand often enough to be in the dictionary are still halves of a far commoner word."""
+    rows = [(i, "the superintendent spoke of transportation to the school\nand the superintendent left the meeting") for i in range(100)]
+    rows += [(200 + i, "the superinten dent spoke of a schedule\nat the school") for i in range(4)]
+    rows += [(300 + i, "the committee spoke of transp-\nortation to the school") for i in range(10)] + [(400, "the school has transp ortation to the meeting")]
+    got = {tuple(r) for r in scan_noise.read_pages(frame(spark, rows), repair=False).select("doc_id", F.inline("noise")).collect()}
+    assert {(d, i) for d, i, k in got if k == "chars"} == {(200 + i, 0) for i in range(4)} | {(400, 0)}
+    assert {(d, i) for d, i, k in got if k == "hyphen"} == {(300 + i, 0) for i in range(10)}
+
+
 def test_name_variants(spark):
     vendors = ['[{"name": "Kellostock & Duntuman Roofing Inc.", "role": "x"}]'] * 5 + ['["THE DUNTUMAN AND KELLOSTOCK ROOFG. LLC"]', '["Kelostock-Duntuman Rfg Corp."]', '["Kellostock Roofing Inc."]', '["Kellostock & Duntuman Plumbing Inc."]', '[{"vendor": "William Thaxloard"}]', '["Thaxloard, Bill P.E."]', '["W. Thaxloard"]', "null", "bad json", None]
     rows = [(i, 1, v, b) for i, (v, b) in enumerate(zip(vendors, ["Lorster High School"] * 5 + ["Lorster H.S.", "High Sch, Lorstr", "Lorster Library", "", None, "Districtwide", "X", "X", "X", "X"]))]
