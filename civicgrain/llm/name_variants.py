@@ -4,7 +4,8 @@ A spelling is read into proper names and the words that say what it is (trade an
 form, kind of building), abbreviations resolved. A symmetric-delete index over all proper
 names finds those one typing error apart; the rarer one of two is a variant of the commoner.
 Spellings that share a name and a kind are candidates. Their tokens are aligned by an
-optimal assignment that permits initials, nicknames and typing errors.
+optimal assignment that permits initials, nicknames and typing errors. However often they
+stand, spellings one typing error apart in one name are linked if all else in them agrees.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from civicgrain.llm.components import connected_components
 from civicgrain.llm.storage import saved
 
 # Trades and kinds of buildings with their abbreviations.
@@ -44,6 +46,9 @@ NICKNAMES = {
 }
 _SHORT = {s: full for full, short in NICKNAMES.items() for s in short.split()}
 _TRADE_OF = {form: t for t, forms in TRADES.items() for form in (t, *forms)}
+_DELETES = "concat(array(token), transform(sequence(1, length(token)), i -> concat(substring(token, 1, i - 1), substring(token, i + 1))))"
+_SWAP = "length(a.token) = length(b.token) and levenshtein(a.token, b.token) = 2 and array_sort(split(a.token, '')) = array_sort(split(b.token, ''))"
+_NEAR = f"(levenshtein(a.token, b.token) <= 1 or ({_SWAP}))"
 _ROLES = frozenset("role type kind status note notes".split())
 
 
@@ -207,22 +212,47 @@ def _spellings(signals: DataFrame, documents: DataFrame) -> DataFrame:
 def _token_variants(read: DataFrame) -> DataFrame:
     """(token, canon): each proper name and the commoner one it is a typing error of, itself if there is none."""
     counts = saved(read.select(F.explode("tokens").alias("token"), "n").groupBy("token").agg(F.sum("n").alias("n")))
-    index = counts.where("length(token) > 3").select("token", "n", F.explode(F.expr("concat(array(token), transform(sequence(1, length(token)), i -> concat(substring(token, 1, i - 1), substring(token, i + 1))))")).alias("key")).distinct()
+    index = counts.where("length(token) > 3").select("token", "n", F.explode(F.expr(_DELETES)).alias("key")).distinct()
     near = index.alias("a").join(index.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.token") != F.col("b.token")))
-    swap = "length(a.token) = length(b.token) and levenshtein(a.token, b.token) = 2 and array_sort(split(a.token, '')) = array_sort(split(b.token, ''))"
-    near = near.where(f"levenshtein(a.token, b.token) <= 1 or ({swap})").where("b.n > a.n and (b.n >= 3 * a.n or a.n <= 3)")
+    near = near.where(f"{_NEAR} and b.n > a.n and (b.n >= 3 * a.n or a.n <= 3)")
     best = near.groupBy(F.col("a.token").alias("token")).agg(F.max_by("b.token", F.struct("b.n", "b.token")).alias("canon"))
     once = saved(counts.select("token").join(best, "token", "left").select("token", F.coalesce("canon", "token").alias("canon")))
     return once.join(once.select(F.col("token").alias("canon"), F.col("canon").alias("next")), "canon").select("token", F.col("next").alias("canon"))
 
 
+def _misspelt(whole: DataFrame, linked: DataFrame) -> DataFrame:
+    """(field, body_id, entity, lead) of entities linked to others by spellings that agree in all
+    but one name, and there but for one typing error. The lead is the entity of most rows."""
+    known = F.create_map(*[F.lit(x) for pair in _SHORT.items() for x in pair])
+    full = lambda c: F.coalesce(F.try_element_at(known, c), c)
+    person = F.col("class") == "person"
+    others = F.filter("t", lambda x: x.place != F.col("own.place"))
+    names = F.array_join(F.array_sort(F.transform(F.filter(others, lambda x: ~person | (F.length(x.canon) > 1)), lambda x: full(x.canon))), " ")
+    # middle initials of persons don't matter; an initial instead of a given name does
+    rest = F.when((names == "") & (F.size(others) > 0), F.concat(F.lit("."), F.get(others, F.lit(0)).canon)).otherwise(names)
+    group = ["field", "body_id", "class", "kind", "rest"]
+    each = whole.join(linked, ["field", "body_id", "spelling"]).withColumn("own", F.explode("t")).withColumn("rest", rest).withColumn("token", F.col("own.token"))
+    index = each.where("length(token) > 3 and token rlike '^[^0-9]+$'").select(*group, "token", "entity").distinct().withColumn("key", F.explode(F.expr(_DELETES)))
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in (*group, "key")]
+    near = index.alias("a").join(index.alias("b"), [*same, F.col("a.token") < F.col("b.token"), F.col("a.entity") != F.col("b.entity")]).where(_NEAR)
+    links = saved(near.select("a.field", "a.body_id", F.col("a.entity").alias("x"), F.col("b.entity").alias("y")).distinct())
+    held = whole.join(linked, ["field", "body_id", "spelling"]).groupBy("field", "body_id", "entity").agg(F.sum("n").alias("n"))
+    ends = links.select("field", "body_id", F.col("x").alias("entity")).union(links.select("field", "body_id", "y")).distinct()
+    ids = saved(held.join(ends, ["field", "body_id", "entity"]).withColumn("id", F.monotonically_increasing_id()))
+    of = lambda c: ids.select("field", "body_id", F.col("entity").alias(c), F.col("id").alias(f"{c}_id"))
+    numbered = links.join(of("x"), ["field", "body_id", "x"]).join(of("y"), ["field", "body_id", "y"]).select(F.col("x_id").alias("x"), F.col("y_id").alias("y"))
+    grouped = ids.join(connected_components(numbered), "id")
+    return grouped.withColumn("lead", F.max_by("entity", F.struct("n", "entity")).over(Window.partitionBy("group_id"))).select("field", "body_id", "entity", "lead")
+
+
 def link_spellings(signals: DataFrame, documents: DataFrame) -> DataFrame:
     """(field, body_id, spelling, entity) of every spelling; equal entities are one vendor or building.
 
     Firms need the same proper names and trade, whatever the legal form; persons the same
     surname and given names that fit each other. A given name shortened to an initial joins
     the one full name it fits and stays alone if several fit. Buildings are compared within
-    their body and need the same kind. Null, empty and undecodable values have no spelling.
+    their body and need the same kind. One typing error in one name is allowed whatever the
+    counts of both spellings, which only choose the lead. Null, empty and undecodable values have no spelling.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +265,7 @@ def link_spellings(signals: DataFrame, documents: DataFrame) -> DataFrame:
     read = saved(_spellings(signals, documents).mapInArrow(run, "field string, body_id string, spelling string, n long, class string, kind string, tokens array<string>"))
     variants = _token_variants(read)
     each = read.select("field", "body_id", "spelling", "n", "class", "kind", F.posexplode("tokens").alias("place", "token")).join(variants, "token")
-    whole = each.groupBy("field", "body_id", "spelling", "n", "class", "kind").agg(F.array_sort(F.collect_list(F.struct("place", "canon"))).alias("t")).withColumn("canon", F.col("t.canon")).drop("t")
+    whole = each.groupBy("field", "body_id", "spelling", "n", "class", "kind").agg(F.array_sort(F.collect_list(F.struct("place", "token", "canon"))).alias("t")).withColumn("canon", F.col("t.canon"))
     known = F.create_map(*[F.lit(x) for pair in _SHORT.items() for x in pair])
     full = lambda c: F.coalesce(F.try_element_at(known, c), c)
     firm = F.col("class") == "firm"
@@ -258,7 +288,9 @@ def link_spellings(signals: DataFrame, documents: DataFrame) -> DataFrame:
             entity = [e if ok else s for e, s, ok in zip(batch.column(6).to_pylist(), batch.column(2).to_pylist(), keep)]
             yield pa.RecordBatch.from_arrays([*out.columns, pa.array(entity, pa.string())], names=["field", "body_id", "spelling", "entity"])
 
-    return lead.select("field", "body_id", "spelling", "canon", "lead", "class", "entity").mapInArrow(aligned, "field string, body_id string, spelling string, entity string")
+    linked = saved(lead.select("field", "body_id", "spelling", "canon", "lead", "class", "entity").mapInArrow(aligned, "field string, body_id string, spelling string, entity string"))
+    other = saved(_misspelt(base.select("field", "body_id", "spelling", "n", "class", "kind", "t"), linked))
+    return linked.join(other, ["field", "body_id", "entity"], "left").select("field", "body_id", "spelling", F.coalesce("lead", "entity").alias("entity"))
 
 
 def spelling_pairs(signals: DataFrame, documents: DataFrame) -> DataFrame:

@@ -300,6 +300,15 @@ def test_name_variants(spark):
     assert name_variants.spelling_pairs(signals.limit(0), docs).count() == 0
 
 
+def test_name_variants_that_are_common(spark):
+    """A misspelling is linked however many rows it has, a tie too, if all else in the spelling agrees."""
+    counts = {"Kramtuini Middle School": 110, "Kratmuini Mid. School": 49, "Kramtuini Library": 20, "Kratmuini Pool": 20, "Brenwick High School": 8, "Brenwikc H.S.": 8, "Ward 1234 School": 5, "Ward 1235 School": 5}
+    rows = [(1, '["Tellorqua Roofing Inc.", "Thaxloard, Bill", "Ann Thaxlord"]', b) if k % 2 else (1, '["Telorqua Rfg", "William Q. Thaxlaord", "Tellorqa Plumbing"]', b) for b, n in counts.items() for k in range(n)]
+    signals = spark.createDataFrame(rows, "document_id int, vendors_named string, building string")
+    got = {(r.spelling_a, r.spelling_b) for r in name_variants.spelling_pairs(signals, spark.createDataFrame([(1, "b1")], "doc_id long, body_id string")).collect()}
+    assert got == {("Kramtuini Middle School", "Kratmuini Mid. School"), ("Brenwick High School", "Brenwikc H.S."), ("Tellorqua Roofing Inc.", "Telorqua Rfg"), ("Thaxloard, Bill", "William Q. Thaxlaord")}
+
+
 def test_entities(spark):
     bodies = [("b1", "Upper Tamdwindale Union Free School District", "Ulmstead", "http://www.uppertamdwindaleufsd.example"), ("b2", "Tamdwindale Union Free School District", "Ulmstead", None), ("b3", "Zellermoor Fire District", "Wynholt", None), ("b4", "Zellermoor Fire District", "Corvane", None), ("b5", None, None, None)]
     units = [(1, "UP. TAMDWINDALE U F S D", "County of Ulmstead", None), (2, "Tamdwindlae Union Free Schools", "ULMSTEAD", "n/a"), (3, "Fire Dist. of Zellermoor", "Wynh.", None), (4, "Zellermoor Village", "Wynholt", None), (5, "Zellermoor FD", None, None), (6, None, None, None)]
