@@ -3,7 +3,8 @@
 Names are read into a place, a leading qualifier (north, upper, lake) and a kind of body.
 The place's 2-grams are encoded as a fixed vector of 256 bits. Pairs within a Hamming
 distance of ``RADIUS`` are found exactly by multi-index hashing: cut into ``RADIUS + 1``
-chunks, two such vectors agree in one chunk at least. Field-weighted Dice scores of place,
+chunks, two such vectors agree in one chunk at least. Rows of one exclusive host and one
+area are candidates too. Field-weighted Dice scores of place,
 area and address become confidences by a logistic curve fitted on the pairs themselves,
 those with one exclusive host as matches, those with hosts of their own as non-matches.
 """
@@ -17,10 +18,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from civicgrain.llm.storage import saved
 
-BITS, RADIUS, SAMPLE = 256, 8, 20_000
+BITS, RADIUS, SAMPLE = 256, 12, 20_000  # two swaps of neighbours change at most 12 bits
 SHARED_HOST = 3  # a host of more bodies or units than this belongs to a platform
 # How kinds of bodies are written, blanks left out.
 KINDS = (
@@ -41,6 +43,11 @@ QUALIFIERS = {
 _SPELLED = sorted({q for q in QUALIFIERS.values()})
 
 
+def edit_count(a: str, b: str) -> int:
+    """Typing errors between two places, a swap of neighbours being one; 4 stands for more than 3."""
+    return next((n for n in range(4) if _edits(a, b, n)), 4)
+
+
 def _edits(a: str, b: str, most: int) -> bool:
     """Whether at most ``most`` insertions, deletions, replacements or swaps of neighbours lead from a to b."""
     if abs(len(a) - len(b)) > most:
@@ -169,11 +176,23 @@ def _area_score() -> Column:
     return F.when((x == "") | (y == ""), F.lit(None).cast("double")).when((x == y) | cut, 1.0).when((F.levenshtein(x, y) <= 2) & (F.length(x) > 4), 0.9).otherwise(0.0)
 
 
+def _with_edits(rows: DataFrame) -> DataFrame:
+    """The rows with a column ``typed``, the typing errors between ``x_place`` and ``y_place``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (batch.column(batch.schema.names.index(c)).to_pylist() for c in ("x_place", "y_place"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([edit_count(a, b) for a, b in zip(x, y)], pa.int32())], names=[*batch.schema.names, "typed"])
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("typed", IntegerType())]))
+
+
 def match_bodies(bodies: DataFrame, units: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(body_id, unit_id, confidence) of matching rows; a body may have several.
 
     Place, qualifier and kind must agree (the place within the Hamming radius, and within
-    one typing error, or two in long names), and known areas mustn't differ. Where an area
+    one typing error, or two in long names; one more if the area and an exclusive host of
+    both agree; a swap of neighbours is one error), and known areas mustn't differ. Where an area
     is unknown, an exclusive host of both decides, else there must be no other candidate.
     Rows with a null id or name match nothing; nulls elsewhere are unknown values; a row
     entered twice matches twice. The curve is fitted on at most ``sample`` candidate pairs.
@@ -183,18 +202,21 @@ def match_bodies(bodies: DataFrame, units: DataFrame, sample: int = SAMPLE) -> D
     side = lambda d, p: d.select(*(F.col(c).alias(f"{p}_{c}") for c in d.columns))
     key = lambda d, p: d.where("place <> ''").select(F.col("id").alias(f"{p}_id"), "kind", F.explode(_chunks()).alias("c"), F.col("bits").alias(f"{p}_bits")).select(f"{p}_id", "kind", "c.*", f"{p}_bits")
     distance = _sum(lambda a, b: F.bit_count(a.bitwiseXOR(b)))
-    near = key(left, "x").join(key(right, "y"), ["kind", "chunk", "v0", "v1"]).where(distance <= RADIUS).select("x_id", "y_id").distinct()
+    near = key(left, "x").join(key(right, "y"), ["kind", "chunk", "v0", "v1"]).where(distance <= RADIUS).select("x_id", "y_id")
+    # a host is exclusive to few rows, so this join is small
+    hosted = lambda d, p: d.where("own_host and area <> '' and place <> ''").select(F.col("id").alias(f"{p}_id"), "kind", "host", F.regexp_replace("area", r"\.", "").alias("area"))
+    near = near.union(hosted(left, "x").join(hosted(right, "y"), ["kind", "host", "area"]).select("x_id", "y_id")).distinct()
     rows = near.join(side(left, "x"), "x_id").join(side(right, "y"), "y_id").where("x_qualifier = y_qualifier and x_kind <> ''")
     both, one = _sum(lambda a, b: F.bit_count(a.bitwiseAND(b))), _sum(lambda a, b: F.bit_count(a) + F.bit_count(b))
     rows = rows.withColumn("place_score", 2 * both / one).withColumn("area_score", _area_score())
-    rows = rows.withColumn("typed", F.levenshtein("x_place", "y_place")).where("typed <= 2 or place_score >= 0.75")
     host = F.when(F.col("x_own_host") & F.col("y_own_host"), F.when(F.col("x_host") == F.col("y_host"), 1.0).otherwise(0.0))
-    rows = rows.withColumn("host_score", host)
+    rows = _with_edits(rows.withColumn("host_score", host)).where("typed <= 2 or place_score >= 0.75 or (host_score = 1 and area_score = 1)")
     weights = (("place_score", 3.0), ("area_score", 2.0), ("host_score", 1.0))
     score = sum(F.coalesce(F.col(c), F.lit(0.5)) * w for c, w in weights) / sum(w for _, w in weights)
     rows = saved(rows.withColumn("score", score))
     a, b = _curve(rows, sample)
-    certain = (F.col("typed") <= F.when(F.length("x_place") > 7, 2).otherwise(1)) & (F.coalesce("area_score", F.lit(1.0)) > 0)
+    agreed = (F.coalesce("host_score", F.lit(0.0)) == 1) & (F.coalesce("area_score", F.lit(0.0)) == 1)
+    certain = (F.col("typed") <= F.when(F.length("x_place") > 7, 2).otherwise(1) + agreed.cast("int")) & (F.coalesce("area_score", F.lit(1.0)) > 0)
     good = rows.where(certain)
     unknown = F.col("area_score").isNull() & (F.coalesce("host_score", F.lit(0.0)) < 1)
     w = Window.partitionBy("y_id")

@@ -319,6 +319,15 @@ def test_entities(spark):
     assert entity_match.match_bodies(left.limit(0), right).count() == 0
 
 
+def test_entities_with_swapped_letters(spark):
+    """A swap of neighbours is one error: one in a short place, one on each side of a long one, and one more where host and area agree."""
+    bodies = [("b1", "Port Pellcobegr Public Library", "Vostrand", "http://portpellcoberg-library.example"), ("b2", "Orlin Fire District", "Wynholt", None), ("b3", "Zellermoor Fire District", "Wynholt", "zellermoorfd.example"), ("b4", "Harstwick Fire District", "Wynholt", None)]
+    units = [(1, "Pt. Plelcoberg Public Library", "County of Vostrand", "portpellcoberg-library.example"), (2, "Olrin Fire Dist.", "Wynholt", None), (3, "Zlelremoro Fire Dist.", "Wynholt", "www.zellermoorfd.example"), (4, "Hratswikc Fire Dist.", "Wynholt", None)]
+    left = spark.createDataFrame(bodies, "body_id string, name string, county string, website string")
+    right = spark.createDataFrame(units, "unit_id int, unit_name string, area string, homepage string")
+    assert {(r.body_id, r.unit_id) for r in entity_match.match_bodies(left, right).collect()} == {("b1", 1), ("b2", 2), ("b3", 3)}
+
+
 def test_hamming_index_is_exact(spark):
     rng = np.random.default_rng(3)
     names = ["".join(rng.choice(list("abcdefgh"), 8)) for _ in range(60)]
