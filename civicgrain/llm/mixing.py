@@ -65,19 +65,20 @@ def mix_sources(documents: DataFrame, targets: DataFrame, tokenizer_path: str, t
     all it may. A source of the targets without documents stays in the report with no tokens;
     a source without a target isn't used. ``share`` is of the tokens used.
 
-    Sources are compared trimmed and in lower case. Equal texts count once, as the one of
-    smallest id, so that none is used oftener than ``max_repeats``. Null or empty texts, null
+    Sources are compared trimmed and in lower case. Equal texts of sources with a target count
+    once, as the one of smallest id, so that none is used oftener than ``max_repeats``. Null or empty texts, null
     ids and null sources are left out; a null or negative target is no target.
     """
     clean = lambda c: F.lower(F.trim(c))
     wanted = targets.where("source is not null and target_share > 0 and max_repeats > 0").groupBy(clean(F.col("source")).alias("source")).agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").cast("long").alias("max_repeats"))
     texts = documents.where("doc_id is not null and text is not null and text <> '' and source is not null").select(F.col("doc_id").cast("long").alias("doc_id"), clean(F.col("source")).alias("source"), "text")
+    texts = texts.join(wanted.select("source"), "source", "left_semi")
     # equal texts meet by their digest only; the texts themselves aren't shuffled
     first = texts.groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
     u = (F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    sized = count_tokens(texts.join(wanted.select("source"), "source", "left_semi").withColumn("key", -F.log(u) / quality(F.col("text"))), tokenizer_path)
+    sized = count_tokens(texts.withColumn("key", -F.log(u) / quality(F.col("text"))), tokenizer_path)
     sized = saved(sized.where("tokens > 0"))
-    sized = saved(sized.join(first, "doc_id", "left_semi").join(wanted.select("source"), "source", "left_semi"))
+    sized = saved(sized.join(first, "doc_id", "left_semi"))
     held = saved(wanted.join(sized.groupBy("source").agg(F.sum("tokens").alias("available_tokens")), "source", "left").withColumn("available_tokens", F.coalesce("available_tokens", F.lit(0).cast("long"))))
     most = F.col("available_tokens") * F.col("max_repeats")
     if total_tokens is None:

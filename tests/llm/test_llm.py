@@ -220,6 +220,13 @@ def test_mixing(spark):
     assert mixing.mix_sources(docs.limit(0), targets, mixing.tokenizer())[0].count() == 0
 
 
+def test_mixing_of_a_text_shared_with_a_source_without_target(spark):
+    rows = [(1, "one two three four", "other"), (2, "one two three four", "big"), (3, "five six seven", "big"), (4, "five six seven", "big")]
+    docs = frame(spark, rows, "doc_id long, text string, source string")
+    mix, _ = mixing.mix_sources(docs, spark.createDataFrame([("big", 1.0, 1)], "source string, target_share double, max_repeats int"), mixing.tokenizer())
+    assert {(r.doc_id, r.copies) for r in mix.collect()} == {(2, 1), (3, 1)}
+
+
 PII = "Motion by %s, seconded by %s, to accept it; carried. The clerk attached the claim of Mr. Quillrel, SSN 901-22-3344, residing at 12 Oak St, Apt 4, Riverton, NY 00123. Call (516) 555-0100 ext. 3 or write to A.b+c@mail.example. Sheet 202.188.6642 shows it. Purchase order 435-46-6629 was closed. The drawings for %s Elementary School are on file."
 
 
