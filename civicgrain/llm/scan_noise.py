@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LEXICON_WORDS, TRAINING_WORDS, TRAINING_DOCUMENTS = 80_000, 3_000, 400
+LEXICON_WORDS, TRAINING_WORDS, TRAINING_DOCUMENTS = 2_000_000, 3_000, 400
 _RATIO, _LEAST = 20, 20  # a repair must be that many times as frequent, and that frequent at all
 _HASH = 1 << 14
 # What scanning commonly turns a string into.
@@ -448,10 +448,13 @@ def _counted(documents: DataFrame) -> DataFrame:
 
 
 def train(documents: DataFrame, lexicon: int = LEXICON_WORDS, words: int = TRAINING_WORDS, sample: int = TRAINING_DOCUMENTS) -> Model:
-    """Both perceptrons and the dictionary: the ``lexicon`` commonest words of all documents that
-    stand at least 3 times. The editor is fitted on ``words`` of them, the furniture classifier
-    on the ``sample`` documents of smallest hash; these bounds hold whatever the corpus' size."""
-    top = _counted(documents).where("n >= 3").orderBy(F.desc("n"), "word").limit(lexicon).collect()
+    """Both perceptrons and the dictionary: all words that stand at least 3 times in the documents.
+    More than ``lexicon`` of them are an error, as a part of them would make rare words unknown.
+    The editor is fitted on ``words`` of them, the furniture classifier on the ``sample``
+    documents of smallest hash; these two bounds hold whatever the corpus' size."""
+    top = _counted(documents).where("n >= 3").orderBy(F.desc("n"), "word").limit(lexicon + 1).collect()
+    if len(top) > lexicon:
+        raise ValueError(f"more than {lexicon} words stand at least 3 times; give a larger lexicon")
     counts = {r["word"]: r["n"] for r in top}
     pieces = {r["word"]: r["pieces"] for r in top if r["pieces"]}
     compounds = {w for w in counts if "-" in w}

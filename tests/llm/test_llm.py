@@ -292,6 +292,15 @@ def test_split_words_whose_halves_recur(spark):
     assert {(d, i) for d, i, k in got if k == "hyphen"} == {(300 + i, 0) for i in range(10)}
 
 
+def test_dictionary_is_whole_or_an_error(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    made = [letters[i // 17576] + letters[i // 676 % 26] + letters[i // 26 % 26] + letters[i % 26] for i in range(81_000)]
+    docs = frame(spark, [(i, " ".join(made)) for i in range(3)])
+    assert len(scan_noise.train(docs).counts) == 81_000
+    with pytest.raises(ValueError, match="more than 80999 words"):
+        scan_noise.train(docs, lexicon=80_999)
+
+
 def test_name_variants(spark):
     vendors = ['[{"name": "Kellostock & Duntuman Roofing Inc.", "role": "x"}]'] * 5 + ['["THE DUNTUMAN AND KELLOSTOCK ROOFG. LLC"]', '["Kelostock-Duntuman Rfg Corp."]', '["Kellostock Roofing Inc."]', '["Kellostock & Duntuman Plumbing Inc."]', '[{"vendor": "William Thaxloard"}]', '["Thaxloard, Bill P.E."]', '["W. Thaxloard"]', "null", "bad json", None]
     rows = [(i, 1, v, b) for i, (v, b) in enumerate(zip(vendors, ["Lorster High School"] * 5 + ["Lorster H.S.", "High Sch, Lorstr", "Lorster Library", "", None, "Districtwide", "X", "X", "X", "X"]))]
