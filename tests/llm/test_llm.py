@@ -44,7 +44,7 @@ def test_near_duplicates_against_brute_force(spark, width, threshold):
 
 
 def test_near_duplicates_of_common_phrases(spark):
-    """Texts all of whose sequences are common still meet, by the other key."""
+    """Texts all of whose sequences are common still meet."""
     rng = random.Random(9)
     parts = [random_text(rng, 30) for _ in range(12)]
     combos = [rng.sample(range(12), 9) for _ in range(120)]
@@ -71,15 +71,42 @@ def test_near_duplicates_of_a_large_family(spark):
 
 
 def test_near_duplicates_contained_in_longer_texts(spark):
-    """The keys hold for a text that is part of the other one at a similarity just above the threshold."""
+    """The bound on shared values holds for a text that is part of the other one at a similarity just above the threshold."""
     rng = random.Random(22)
     texts = [random_text(rng, 502, 10**6) for _ in range(400)]
     rows = [(2 * i, t) for i, t in enumerate(texts)] + [(2 * i + 1, " ".join(t.split()[:354])) for i, t in enumerate(texts)]
-    _, pairs = near_duplicates.near_duplicate_classes(frame(spark, rows), 3, 0.7, longest=1)  # no lists, only keys
+    _, pairs = near_duplicates.near_duplicate_classes(frame(spark, rows), 3, 0.7)
     got = {(r.a, r.b) for r in pairs.collect()}
     assert got <= {(2 * i, 2 * i + 1) for i in range(400)} and len(got) >= 0.99 * 400
 
 
+@pytest.mark.parametrize("revisions,copies", [(4, 10), (5, 5), (1, 200)])
+def test_near_duplicates_of_revised_templates(spark, revisions, copies):
+    """Revisions of one template, each filled in many times: pairs within and across revisions are found, and no list is dropped."""
+    rng = random.Random(revisions)
+    base = random_text(rng, 400, 10**6).split()
+    changed = [base[:50] + random_text(rng, 30, 10**6).split() + base[80:] for _ in range(revisions)]
+    texts = []
+    for w in changed:
+        for _ in range(copies):
+            at = rng.randrange(100, 390)
+            texts.append(" ".join(w[:at] + random_text(rng, 6, 10**6).split() + w[at + 6 :]))
+    grams = [{tuple(w[k : k + 3]) for k in range(len(w) - 2)} for w in map(words, texts)]
+    want = {(i, j) for j in range(len(texts)) for i in range(j) if len(grams[i] & grams[j]) >= 0.7 * len(grams[i] | grams[j])}
+    rows = list(enumerate(texts)) + [(1000 + i, random_text(rng, 100, 10**6)) for i in range(20)]
+    got = {(r.doc_a, r.doc_b) for r in near_duplicates.near_duplicate_pairs(frame(spark, rows), 3, 0.7).collect()}
+    assert got == want and len(want) > 250
+
+
+def test_long_lists_are_split(spark, monkeypatch):
+    """A list of a third of all texts is paired block by block, and gives the pairs it gives in one piece."""
+    lists = [np.array([7, 7, i], np.uint64) for i in range(60)] + [np.array([1000 + i], np.uint64) for i in range(120)]
+    rows = spark.createDataFrame([(i, 10, bytearray(x.tobytes())) for i, x in enumerate(lists)], "doc_id long, n int, listed binary")
+    postings = near_duplicates._postings(rows.selectExpr("doc_id", "n", "unhex(repeat(hex(listed), if(doc_id < 60, 10, 1))) as listed"))  # counts of 1,200, so five blocks
+    assert postings.groupBy("list").count().agg(F.max("count")).first()[0] < 900 and postings.where("side = 1").count() > 0
+    assert {(r.a, r.b) for r in near_duplicates._met(postings, 0.7).collect()} == {(i, j) for j in range(60) for i in range(j)}
+
+
 def test_large_class_of_copies_is_a_star(spark):
     rows = [(i, "one two three four five six") for i in range(30)]
     got = {(r.doc_a, r.doc_b) for r in near_duplicates.near_duplicate_pairs(frame(spark, rows), 3, 0.7, expand=10).collect()}
