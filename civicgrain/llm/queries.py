@@ -58,6 +58,11 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.where("exact_words >= 12").select("doc_id", "item_id").distinct()
 
 
+def p8_near(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of twelve words with at most one of them replaced, added or left out."""
+    return find_leaks(texts(spark, folder), table(spark, folder, "eval_items")).select("doc_id", "item_id", "distance")
+
+
 def p9_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(texts(spark, folder), table(spark, folder, "mix_targets"), tokenizer())[0]
 
@@ -76,7 +81,7 @@ def p10_redacted(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (p1_found, p1_repaired, p2_found, p4_found, p5_found, p6_found, p6_confidence, p7_found, p7_cleaned, p8_found, p9_mix, p9_report, p10_found, p10_redacted)
+    for query in (p1_found, p1_repaired, p2_found, p4_found, p5_found, p6_found, p6_confidence, p7_found, p7_cleaned, p8_found, p8_near, p9_mix, p9_report, p10_found, p10_redacted)
 }
 
 _LINES = r"""
@@ -92,7 +97,30 @@ common AS (
 ), hit AS (SELECT DISTINCT doc_id, line_no FROM keyed JOIN common USING (body_id, k))
 """
 
+_WORDS = r"SELECT {id}, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM {table} WHERE text IS NOT NULL AND {id} IS NOT NULL"
+# six words of an item stand in a text unchanged; what comes before and after them may differ in one word
+_NEAR = rf"""WITH i AS ({_WORDS.format(id='item_id', table='eval_items')}), d AS ({_WORDS.format(id='doc_id', table='documents')}),
+ip AS (SELECT item_id, w, unnest(range(1, len(w) - 4)) AS pos FROM i WHERE len(w) >= 12), dp AS (SELECT doc_id, w, unnest(range(1, len(w) - 4)) AS pos FROM d WHERE len(w) >= 6),
+ik AS (SELECT item_id, pos, list_aggregate(w[pos : pos + 5], 'string_agg', ' ') AS k FROM ip), dk AS (SELECT doc_id, pos, list_aggregate(w[pos : pos + 5], 'string_agg', ' ') AS k FROM dp),
+h AS (SELECT DISTINCT doc_id, item_id, ik.pos AS ia, dk.pos AS da FROM ik JOIN dk USING (k)),
+t AS (SELECT doc_id, item_id, i.w AS iw, d.w AS dw, ia, da FROM h JOIN i USING (item_id) JOIN d USING (doc_id)),
+-- a piece is the first or the second half of a passage; the other half of it, six words, has at most one error
+half AS (SELECT doc_id, item_id, iw[ia + 6 : ia + 11] AS a, dw[da + 6 : da + 12] AS b FROM t WHERE ia + 11 <= len(iw)
+UNION ALL SELECT doc_id, item_id, list_reverse(iw[ia - 6 : ia - 1]), list_reverse(dw[greatest(da - 7, 1) : da - 1]) FROM t WHERE ia > 6),
+same AS (SELECT *, list_aggregate(list_filter(range(0, 7), lambda k: a[1 : k] IS NOT DISTINCT FROM b[1 : k]), 'max') AS k FROM half),
+said AS (SELECT doc_id, item_id, CASE WHEN k = 6 THEN 0 WHEN a[k + 2 : 6] = b[k + 2 : 6] OR a[k + 2 : 6] = b[k + 1 : 5] OR a[k + 1 : 6] = b[k + 2 : 7] THEN 1 END AS distance FROM same)
+SELECT doc_id, item_id, CAST(min(distance) AS INTEGER) AS distance FROM said WHERE distance IS NOT NULL GROUP BY doc_id, item_id"""
+
 ORACLE: dict[str, str] = {
+    "p2_found": rf"""WITH w AS ({_WORDS.format(id='doc_id', table='documents')}),
+g AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS s FROM w), n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id)
+SELECT x.doc_id AS doc_a, y.doc_id AS doc_b FROM (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2) p
+JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE shared >= 0.7 * (x.n + y.n - shared)""",
+    "p8_found": rf"""WITH i AS ({_WORDS.format(id='item_id', table='eval_items')}), d AS ({_WORDS.format(id='doc_id', table='documents')}),
+ik AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 10), lambda k: list_aggregate(w[k : k + 11], 'string_agg', ' '))) AS k FROM i),
+dk AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 10), lambda k: list_aggregate(w[k : k + 11], 'string_agg', ' '))) AS k FROM d)
+SELECT DISTINCT doc_id, item_id FROM ik JOIN dk USING (k)""",
+    "p8_near": _NEAR,
     "p5_found": """
 WITH RECURSIVE latest AS (
   SELECT least(left_id, right_id) AS a, greatest(left_id, right_id) AS b, score,

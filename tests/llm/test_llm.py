@@ -222,6 +222,45 @@ def test_leaks_against_brute_force(spark):
     assert leaks.find_leaks(frame(spark, docs), spark.createDataFrame([], "item_id int, text string")).count() == 0
 
 
+@pytest.mark.parametrize("errors", [0, 1, 2])
+def test_leaks_of_items_of_all_lengths(spark, errors):
+    """Items of 1 to 20 words with one word replaced, added or left out, against edit distance over all passages."""
+    rng = random.Random(errors)
+    items = [(n, " ".join(f"i{n}x{k}" for k in range(n))) for n in range(1, 21)]
+    docs = []
+    for n, text in items:
+        for change in range(n):
+            w = text.split()
+            kind = rng.choice(["replace", "add", "leave", "none", "two"])
+            if kind in ("replace", "two"):
+                w[change] = "other"
+            if kind == "two":
+                w[rng.randrange(n)] = "another"
+            if kind == "add":
+                w.insert(change, "other")
+            if kind == "leave":
+                del w[change]
+            docs.append((len(docs), " ".join(["x"] * rng.randint(0, 5) + w + ["y"] * rng.randint(0, 5))))
+    want = {}
+    for d, t in docs:
+        for i, x in items:
+            v, w = x.split(), t.split()
+            width = min(12, len(v))
+            least = min(edit_distance(v[s : s + width], w) for s in range(len(v) - width + 1))
+            if least <= (errors if width >= 2 * (errors + 1) else 0):
+                want[d, i] = least
+    got = leaks.find_leaks(frame(spark, docs), spark.createDataFrame(items, "item_id int, text string"), errors=errors)
+    assert {(r.doc_id, r.item_id): r.distance for r in got.collect()} == want
+
+
+def test_many_leak_items_take_one_scan(spark):
+    items = spark.range(10_000).selectExpr("cast(id as int) as item_id", "concat_ws(' ', transform(sequence(1, 15), k -> concat('w', id, 'x', k))) as text")
+    docs = frame(spark, [(1, " ".join(f"w77x{k}" for k in range(1, 16))), (2, "nothing of it")])
+    got = leaks.find_leaks(docs, items)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert [tuple(r) for r in got.collect()] == [(1, 77, 0, 12)]
+
+
 def test_leak_with_an_error(spark):
     item = " ".join(f"w{i}" for i in range(20))
     doc = item.replace("w9 ", "zzz ")
