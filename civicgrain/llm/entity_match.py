@@ -1,28 +1,37 @@
 """Problem 6: bodies and units of an outside register that are the same, without a common key.
 
 Names are read into a place, a leading qualifier (north, upper, lake) and a kind of body.
-The place's 2-grams are encoded as a fixed vector of 256 bits. Pairs within a Hamming
-distance of ``RADIUS`` are found exactly by multi-index hashing: cut into ``RADIUS + 1``
-chunks, two such vectors agree in one chunk at least. Rows of one exclusive host and one
-area are candidates too. Field-weighted Dice scores of place,
-area and address become confidences by a logistic curve fitted on the pairs themselves,
-those with one exclusive host as matches, those with hosts of their own as non-matches.
+The place's 2-grams are encoded as a fixed vector of ``BITS`` bits. Places a few typing
+errors apart are found exactly by multi-index Hamming hashing: an error takes at most three
+set bits from a vector, so of the ``3 * errors + 2`` rarest bits of either vector two at
+least stand in the other, and every two of them are a key of the index. A piece of zeros is
+never a key. Rows of one exclusive host and one area are candidates too.
+
+Dice scores become confidences field by field, each weighed on labels that are no part of
+what it scores. A logistic curve over place Dice, typing errors and the number of rival
+candidates is fitted on pairs whose known areas agree or differ. The weight of an equal area
+comes from pairs that share an exclusive host, that of equal, similar (by Dice) and other hosts from pairs
+whose areas agree or differ. Candidates for one unit, and units of different areas for one
+body, exclude each other, so their odds are shared out. A confidence of a half and more is a match.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from civicgrain.llm.storage import saved
 
-BITS, RADIUS, SAMPLE = 256, 12, 20_000  # two swaps of neighbours change at most 12 bits
+BITS, SAMPLE = 512, 20_000
+_KEY_BITS = 2
 SHARED_HOST = 3  # a host of more bodies or units than this belongs to a platform
 # How kinds of bodies are written, blanks left out.
 KINDS = (
@@ -67,7 +76,7 @@ def _edits(a: str, b: str, most: int) -> bool:
 
 
 def read_name(name: str) -> tuple[str, str, str]:
-    """(kind, qualifier, place) of a body's name; an unknown kind is empty."""
+    """(kind, qualifier, place) of a body's name. An unlisted kind is a kind of its own, the empty one, and its words stay in the place."""
     text = re.sub(r"\b(?:no\.?|#)\s*\d+|#\s*\d+|\d+", " ", name.lower())
     text = re.sub(r"\b(?:[a-z]\.){2,}[a-z]?\b\.?|\b[a-z](?: [a-z]){2,}\b", lambda m: re.sub(r"[. ]", "", m[0]) + " ", text)
     text = re.sub(r"[^a-zà-ÿ]+", " ", text.replace("(", " ").replace(")", " "))
@@ -79,7 +88,7 @@ def read_name(name: str) -> tuple[str, str, str]:
         qualifier = QUALIFIERS.get(tokens[0], "") or next((q for q in _SPELLED if len(q) > 3 and _edits(tokens[0], q, 1)), "")
         if qualifier:
             tokens = tokens[1:]
-    return kind, qualifier, "".join(tokens)
+    return kind, qualifier, "".join(tokens if kind else sorted(tokens))
 
 
 def _take_kind(tokens: list[str]) -> tuple[str, list[str]]:
@@ -104,7 +113,7 @@ def _take_kind(tokens: list[str]) -> tuple[str, list[str]]:
 
 
 def gram_bits(text: str) -> list[int]:
-    """Four signed 64-bit words with a bit set for each 2-gram of the padded text."""
+    """Signed 64-bit words, ``BITS`` in all, with a bit set for each 2-gram of the padded text."""
     import xxhash
 
     words = [0] * (BITS // 64)
@@ -149,20 +158,46 @@ def _read(frame: DataFrame, key: str, name: str, area: str, site: str) -> DataFr
     return saved(read.join(shared, "host", "left").withColumn("own_host", (F.col("host") != "") & (F.col("holders") <= SHARED_HOST)).drop("holders"))
 
 
-def _chunks() -> Column:
-    """Chunk number and value of each of RADIUS + 1 pieces of the vector."""
-    edges = np.linspace(0, BITS, RADIUS + 2).astype(int)
-    out = []
-    for c, (low, high) in enumerate(zip(edges[:-1], edges[1:])):
-        pieces, at = [], int(low)
-        while at < high:
-            word, bit = divmod(at, 64)
-            take = min(64 - bit, int(high) - at)
-            mask = (1 << take) - 1
-            pieces.append(F.shiftrightunsigned(F.get("bits", F.lit(word)), bit).bitwiseAND(F.lit(mask if take < 64 else -1).cast("long")))
-            at += take
-        out.append(F.struct(F.lit(c).alias("chunk"), pieces[0].alias("v0"), (pieces[1] if len(pieces) > 1 else F.lit(0).cast("long")).alias("v1")))
-    return F.array(*out)
+def set_bits(words: list[int]) -> list[int]:
+    return [64 * k + b for k, w in enumerate(words) for b in range(64) if w >> b & 1]
+
+
+def errors_allowed(place: str, bits: int) -> int:
+    """Typing errors forgiven in a place: two in more than seven letters, none in less than four, and no more than its set bits can index."""
+    return min(2 if len(place) > 7 else 1 if len(place) > 3 else 0, max(0, (bits - _KEY_BITS) // 3))
+
+
+def index_keys(place: str, held: list[int], rank: list[int]) -> list[int]:
+    """Every two of the rarest set bits, as one number."""
+    first = sorted(held, key=lambda b: (rank[b], b))[: 3 * errors_allowed(place, len(held)) + _KEY_BITS]
+    return [x * BITS + y for x, y in combinations(sorted(first), _KEY_BITS)] or [x * BITS + x for x in first]
+
+
+def _index(rows: DataFrame, rank: list[int], side: str) -> DataFrame:
+    """(id, kind, qualifier, key) of the rows' places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [index_keys(p, set_bits(w), rank) for p, w in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), pa.array(keys, pa.list_(pa.int64()))], names=["id", "kind", "qualifier", "keys"])
+
+    keyed = rows.where("place <> ''").select("id", "kind", "qualifier", "place", "bits").mapInArrow(run, "id string, kind string, qualifier string, keys array<long>")
+    return keyed.select(F.col("id").alias(f"{side}_id"), "kind", "qualifier", F.explode("keys").alias("key"))
+
+
+def _rarity(places: DataFrame) -> list[int]:
+    """How many places have each bit: ``BITS`` numbers, whatever the rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(BITS, np.int64)
+        for batch in batches:
+            for words in batch.column(0).to_pylist():
+                counts[set_bits(words)] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(BITS, dtype=np.int32)), pa.array(counts)], names=["bit", "n"])
+
+    got = places.select("bits").mapInArrow(run, "bit int, n long").groupBy("bit").agg(F.sum("n").alias("n")).collect()
+    held = {r["bit"]: r["n"] for r in got}
+    return [held.get(b, 0) for b in range(BITS)]
 
 
 def _sum(expr) -> Column:
@@ -176,74 +211,114 @@ def _area_score() -> Column:
     return F.when((x == "") | (y == ""), F.lit(None).cast("double")).when((x == y) | cut, 1.0).when((F.levenshtein(x, y) <= 2) & (F.length(x) > 4), 0.9).otherwise(0.0)
 
 
+def dice(a: str, b: str) -> float:
+    """Dice score of the sets of 2-grams."""
+    x, y = ({t[k : k + 2] for k in range(len(t) - 1)} for t in (a, b))
+    return 2 * len(x & y) / (len(x) + len(y)) if x or y else float(a == b)
+
+
 def _with_edits(rows: DataFrame) -> DataFrame:
-    """The rows with a column ``typed``, the typing errors between ``x_place`` and ``y_place``."""
+    """The rows with ``typed``, the typing errors between ``x_place`` and ``y_place``, and ``host_dice`` of exclusive hosts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (batch.column(batch.schema.names.index(c)).to_pylist() for c in ("x_place", "y_place"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([edit_count(a, b) for a, b in zip(x, y)], pa.int32())], names=[*batch.schema.names, "typed"])
+            x, y, g, h, own = (batch.column(batch.schema.names.index(c)).to_pylist() for c in ("x_place", "y_place", "x_host", "y_host", "exclusive"))
+            typed = pa.array([edit_count(a, b) for a, b in zip(x, y)], pa.int32())
+            score = pa.array([dice(a, b) if o else None for a, b, o in zip(g, h, own)], pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, typed, score], names=[*batch.schema.names, "typed", "host_dice"])
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("typed", IntegerType()), StructField("host_dice", DoubleType())]))
 
-    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("typed", IntegerType())]))
+
+def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(x_id, y_id) of rows of one kind and qualifier that share a key, or an exclusive host and an area."""
+    rank = _rarity(left.select("bits").union(right.select("bits")))
+    near = _index(left, rank, "x").join(_index(right, rank, "y"), ["kind", "qualifier", "key"]).select("x_id", "y_id")
+    # a host is exclusive to few rows, so this join is small
+    hosted = lambda d, p: d.where("own_host and area <> '' and place <> ''").select(F.col("id").alias(f"{p}_id"), "kind", "qualifier", "host", F.regexp_replace("area", r"\.", "").alias("area"))
+    return near.union(hosted(left, "x").join(hosted(right, "y"), ["kind", "qualifier", "host", "area"]).select("x_id", "y_id")).distinct()
 
 
 def match_bodies(bodies: DataFrame, units: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(body_id, unit_id, confidence) of matching rows; a body may have several.
 
-    Place, qualifier and kind must agree (the place within the Hamming radius, and within
-    one typing error, or two in long names; one more if the area and an exclusive host of
-    both agree; a swap of neighbours is one error), and known areas mustn't differ. Where an area
-    is unknown, an exclusive host of both decides, else there must be no other candidate.
+    Place, qualifier and kind must agree (the place within ``errors_allowed`` of the shorter
+    one, one more if the area and an exclusive host of
+    both agree; a swap of neighbours is one error), and known areas mustn't differ: bodies of another kind or area
+    are different. Of the pairs left those with a confidence of at least a half are kept.
     Rows with a null id or name match nothing; nulls elsewhere are unknown values; a row
-    entered twice matches twice. The curve is fitted on at most ``sample`` candidate pairs.
+    entered twice matches twice. The curves are fitted on at most ``sample`` candidate pairs.
     """
     left = _read(bodies, "body_id", "name", "county", "website")
     right = _read(units, "unit_id", "unit_name", "area", "homepage")
     side = lambda d, p: d.select(*(F.col(c).alias(f"{p}_{c}") for c in d.columns))
-    key = lambda d, p: d.where("place <> ''").select(F.col("id").alias(f"{p}_id"), "kind", F.explode(_chunks()).alias("c"), F.col("bits").alias(f"{p}_bits")).select(f"{p}_id", "kind", "c.*", f"{p}_bits")
-    distance = _sum(lambda a, b: F.bit_count(a.bitwiseXOR(b)))
-    near = key(left, "x").join(key(right, "y"), ["kind", "chunk", "v0", "v1"]).where(distance <= RADIUS).select("x_id", "y_id")
-    # a host is exclusive to few rows, so this join is small
-    hosted = lambda d, p: d.where("own_host and area <> '' and place <> ''").select(F.col("id").alias(f"{p}_id"), "kind", "host", F.regexp_replace("area", r"\.", "").alias("area"))
-    near = near.union(hosted(left, "x").join(hosted(right, "y"), ["kind", "host", "area"]).select("x_id", "y_id")).distinct()
-    rows = near.join(side(left, "x"), "x_id").join(side(right, "y"), "y_id").where("x_qualifier = y_qualifier and x_kind <> ''")
+    rows = candidate_pairs(left, right).join(side(left, "x"), "x_id").join(side(right, "y"), "y_id")
     both, one = _sum(lambda a, b: F.bit_count(a.bitwiseAND(b))), _sum(lambda a, b: F.bit_count(a) + F.bit_count(b))
     rows = rows.withColumn("place_score", 2 * both / one).withColumn("area_score", _area_score())
-    host = F.when(F.col("x_own_host") & F.col("y_own_host"), F.when(F.col("x_host") == F.col("y_host"), 1.0).otherwise(0.0))
-    rows = _with_edits(rows.withColumn("host_score", host)).where("typed <= 2 or place_score >= 0.75 or (host_score = 1 and area_score = 1)")
-    weights = (("place_score", 3.0), ("area_score", 2.0), ("host_score", 1.0))
-    score = sum(F.coalesce(F.col(c), F.lit(0.5)) * w for c, w in weights) / sum(w for _, w in weights)
-    rows = saved(rows.withColumn("score", score))
-    a, b = _curve(rows, sample)
-    agreed = (F.coalesce("host_score", F.lit(0.0)) == 1) & (F.coalesce("area_score", F.lit(0.0)) == 1)
-    certain = (F.col("typed") <= F.when(F.length("x_place") > 7, 2).otherwise(1) + agreed.cast("int")) & (F.coalesce("area_score", F.lit(1.0)) > 0)
-    good = rows.where(certain)
-    unknown = F.col("area_score").isNull() & (F.coalesce("host_score", F.lit(0.0)) < 1)
-    w = Window.partitionBy("y_id")
-    z = Window.partitionBy("x_id")
-    good = good.withColumn("best", F.min("typed").over(w)).where("typed = best")  # the nearest spelling of a unit's place
-    sure = lambda over: F.max(F.when(~unknown, 1).otherwise(0)).over(over)
-    good = good.withColumn("unknown", unknown).withColumn("rivals", F.count("*").over(w)).withColumn("firm", sure(w)).withColumn("held", F.when(F.col("x_area") == "", sure(z)).otherwise(0))
-    kept = good.where("not unknown or (rivals = 1 and firm = 0) or (firm = 0 and held = 0 and rivals = 1)")
-    confidence = 1 / (1 + F.exp(-(F.lit(a) * F.col("score") + F.lit(b))))
-    return kept.select(F.col("x_id").alias("body_id"), F.col("y_id").cast("int").alias("unit_id"), confidence.alias("confidence"))
-
-
-def _curve(rows: DataFrame, sample: int) -> tuple[float, float]:
-    """Slope and offset of the logistic curve from score to confidence."""
-    label = F.when(F.col("host_score") == 1, 1.0).when((F.col("host_score") == 0) & (F.coalesce("area_score", F.lit(0.5)) == 0), 0.0)
-    got = rows.select("score", label.alias("label"), F.xxhash64("x_id", "y_id").alias("h")).where("label is not null").orderBy("h").limit(sample).collect()
-    x, y = np.array([r["score"] for r in got]), np.array([r["label"] for r in got])
-    if len(x) < 20 or y.min() == y.max():
-        return 12.0, -8.0  # too few to fit: a curve that is even at two thirds
-    a, b = 12.0, -8.0
-    for _ in range(200):
-        p = 1 / (1 + np.exp(-(a * x + b)))
-        g = np.array([((p - y) * x).mean() + 1e-3 * a, (p - y).mean()])
-        v = p * (1 - p)
-        h = np.array([[(v * x * x).mean() + 1e-3, (v * x).mean()], [(v * x).mean(), v.mean() + 1e-6]])
-        step = np.linalg.solve(h, g)
-        a, b = a - step[0], b - step[1]
-        if np.abs(step).max() < 1e-6:
-            break
-    return float(a), float(b)
+    rows = _with_edits(rows.withColumn("exclusive", F.col("x_own_host") & F.col("y_own_host")))
+    agreed = (F.coalesce("host_dice", F.lit(0.0)) == 1) & (F.coalesce("area_score", F.lit(0.0)) == 1)
+    allowed = F.least(*(F.when(F.length(c) > 7, 2).when(F.length(c) > 3, 1).otherwise(0) for c in ("x_place", "y_place"))) + agreed.cast("int")
+    rows = rows.where(F.col("typed") <= allowed).withColumn("x_rivals", F.count("*").over(Window.partitionBy("y_id"))).withColumn("y_rivals", F.count("*").over(Window.partitionBy("x_id")))
+    rows = saved(rows.select("x_id", "y_id", "x_area", "y_area", "place_score", "area_score", "host_dice", "typed", "x_rivals", "y_rivals"))
+    model = fit_confidence(rows, sample)
+    z = sum((F.lit(w) * c for w, c in zip(model.place, _features())), F.lit(0.0)) + F.when(F.col("area_score") > 0, model.area).otherwise(0.0)
+    z = z + F.coalesce(F.get(F.array(*map(F.lit, model.host)), _host_bin()), F.lit(0.0))
+    odds = F.exp(F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0)))
+    good = rows.where(F.coalesce("area_score", F.lit(1.0)) > 0).withColumn("odds", odds).withColumn("where", F.when(F.col("y_area") != "", F.substring("y_area", 1, 4)))
+    # one unit is one body; a body of unknown area isn't in the areas of different units at once
+    total = lambda c, *by: F.coalesce(F.sum(c).over(Window.partitionBy(*by)), F.lit(0.0))
+    known = F.when(F.col("where").isNotNull(), F.col("odds"))
+    elsewhere = F.when((F.col("x_area") != "") | F.col("where").isNull(), 0.0).otherwise(total(known, "x_id") - total(known, "x_id", "where"))
+    confidence = F.col("odds") / (1 + F.greatest(total("odds", "y_id"), F.col("odds") + elsewhere))
+    return good.withColumn("confidence", confidence).where("confidence >= 0.5").select(F.col("x_id").alias("body_id"), F.col("y_id").cast("int").alias("unit_id"), "confidence")
+
+
+def _features() -> list[Column]:
+    return [F.lit(1.0), F.col("place_score"), F.col("typed").cast("double"), F.log("x_rivals"), F.log("y_rivals")]
+
+
+def _host_bin() -> Column:
+    """0 other hosts, 1 similar ones, 2 equal ones, null where one isn't exclusive."""
+    return F.when(F.col("host_dice") == 1, 2).when(F.col("host_dice") >= 0.6, 1).when(F.col("host_dice").isNotNull(), 0)
+
+
+@dataclass(frozen=True)
+class Confidence:
+    """In log odds: the curve over ``_features``, and what an equal area and other, similar or equal hosts add."""
+
+    place: tuple[float, ...] = (-6.0, 8.0, -0.5, -1.5, -0.5)
+    area: float = 3.0
+    host: tuple[float, float, float] = (-2.0, 0.0, 3.0)
+
+
+def fit_confidence(rows: DataFrame, sample: int = SAMPLE) -> Confidence:
+    """Fitted on at most ``sample`` of the candidate pairs, those of smallest hash.
+
+    The curve is ridge-penalised towards the defaults, and rates have the defaults as
+    twenty pairs, so few or one-sided pairs leave the defaults nearly as they are.
+    """
+    known = rows.where("area_score is not null or host_dice is not null")
+    got = known.select(*(c.cast("double").alias(f"f{k}") for k, c in enumerate(_features())), "area_score", _host_bin().alias("bin"), F.xxhash64("x_id", "y_id").alias("h")).orderBy("h").limit(sample).collect()
+    default = Confidence()
+    prior = np.array(default.place)
+    told = [r for r in got if r["area_score"] is not None]
+    beta = prior.copy()
+    if told:
+        x, y = np.array([[r[f"f{k}"] for k in range(len(prior))] for r in told]), np.array([float(r["area_score"] > 0) for r in told])
+        for _ in range(200):
+            p = 1 / (1 + np.exp(-(x @ beta)))
+            slope = x.T @ (p - y) + 0.5 * (beta - prior)
+            curve = (x * (p * (1 - p))[:, None]).T @ x + 0.5 * np.eye(len(beta))
+            step = np.linalg.solve(curve, slope)
+            beta = beta - step / max(1.0, float(np.abs(step).max()))
+            if np.abs(step).max() < 1e-8:
+                break
+    # an equal area: among pairs of one host, against pairs at large
+    hosted = [r["area_score"] > 0 for r in told if r["bin"] == 2]
+    at_large = np.exp(-default.area)
+    area = np.log((sum(hosted) + 19) / (len(hosted) + 20) / at_large)
+    host = []
+    for k, d in enumerate(default.host):
+        yes, no = ([r["bin"] == k for r in told if r["bin"] is not None and (r["area_score"] > 0) is label] for label in (True, False))
+        host.append(float(np.log((sum(yes) + 20 / 3) / (len(yes) + 20)) - np.log((sum(no) + 20 / 3 * np.exp(-d)) / (len(no) + 20 / 3 * sum(np.exp(-e) for e in default.host)))))
+    return Confidence(tuple(beta.tolist()), float(area), tuple(host))

@@ -410,12 +410,57 @@ def test_entities_with_swapped_letters(spark):
     assert {(r.body_id, r.unit_id) for r in entity_match.match_bodies(left, right).collect()} == {("b1", 1), ("b2", 2), ("b3", 3)}
 
 
-def test_hamming_index_is_exact(spark):
-    rng = np.random.default_rng(3)
-    names = ["".join(rng.choice(list("abcdefgh"), 8)) for _ in range(60)]
-    names += [n[:3] + "z" + n[4:] for n in names[:30]]
-    bits = [np.array(entity_match.gram_bits(n), np.int64).view(np.uint64) for n in names]
-    near = {(i, j) for i in range(90) for j in range(90) if sum(int(x).bit_count() for x in bits[i] ^ bits[j]) <= entity_match.RADIUS}
-    rows = spark.createDataFrame([(i, entity_match.gram_bits(n)) for i, n in enumerate(names)], "i int, bits array<long>").select("i", F.explode(entity_match._chunks()).alias("c")).select("i", "c.*")
-    met = {(r.i, r.j) for r in rows.join(rows.withColumnRenamed("i", "j"), ["chunk", "v0", "v1"]).select("i", "j").distinct().collect()}
-    assert near <= met
+def test_unlisted_kinds_match_each_other(spark):
+    left = spark.createDataFrame([("b1", "Nassau BOCES", "Nassau", None), ("b2", "City of Glen Cove", "Nassau", None), ("b3", "Plainview Sanitary District", None, None)], "body_id string, name string, county string, website string")
+    right = spark.createDataFrame([(1, "BOCES of Nassau", "Nassau", None), (2, "Glen Cove City", "Nassau", None), (3, "Plainview Sanitary Dist.", "Nassau", None), (4, "Glen Cove Village", "Nassau", None)], "unit_id int, unit_name string, area string, homepage string")
+    assert {(r.body_id, r.unit_id) for r in entity_match.match_bodies(left, right).collect()} == {("b1", 1), ("b2", 2), ("b3", 3)}
+
+
+def typing_error(rng, word):
+    i = rng.randrange(len(word) - 1)
+    c = rng.choice("abcdefgh")
+    return rng.choice([word[:i] + c + word[i:], word[:i] + word[i + 1 :], word[:i] + c + word[i + 1 :], word[:i] + word[i + 1] + word[i] + word[i + 2 :]])
+
+
+def test_hamming_index_is_exact():
+    """Places within the allowed errors share a key; a key is never made of zeros, and unlike places hardly ever share one."""
+    rng = random.Random(3)
+    letters = "abcdefghijklmnoprstuvwyz"
+    places = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 14))) for _ in range(400)]
+    counts = [0] * entity_match.BITS
+    for p in places:
+        for b in entity_match.set_bits(entity_match.gram_bits(p)):
+            counts[b] += 1
+
+    def keys(p):
+        held = entity_match.set_bits(entity_match.gram_bits(p))
+        return entity_match.errors_allowed(p, len(held)), set(entity_match.index_keys(p, held, counts))
+
+    for p in places:
+        for errors in (0, 1, 2):
+            q = p
+            for _ in range(errors):
+                q = typing_error(rng, q) if len(q) > 2 else q
+            (e, x), (f, y) = keys(p), keys(q)
+            if entity_match.edit_count(p, q) <= min(e, f):
+                assert x & y, (p, q)
+    index = [keys(p)[1] for p in places]
+    assert all(index) and sum(bool(index[i] & index[j]) for j in range(400) for i in range(j)) < 0.05 * 400 * 399 / 2
+
+
+def test_confidence_is_calibrated(spark):
+    """Of planted pairs the shares that match are close to the confidences, and one county apart nothing matches."""
+    rng = random.Random(12)
+    letters, left, right, same = "abcdefghiklmnoprstuvw", [], [], set()
+    for i in range(400):
+        place, county = "".join(rng.choice(letters) for _ in range(rng.randint(6, 11))).title(), rng.choice(["Ulm", "Wyn", "Cor", "Ost"])
+        left.append((f"b{i}", f"{place} Fire District", county if rng.random() < 0.9 else None, f"{place.lower()}fd.example"))
+        other = typing_error(rng, place.lower()).title() if rng.random() < 0.3 else place
+        twin = rng.random() < 0.3  # a body of the same name in another county
+        right.append((i, f"{other} Fire Dist.", ("Far" if twin else county) if rng.random() < 0.9 else None, None if rng.random() < 0.5 else f"{place.lower()}{'far' if twin else ''}fd.example"))
+        if not twin:
+            same.add((f"b{i}", i))
+    got = entity_match.match_bodies(spark.createDataFrame(left, "body_id string, name string, county string, website string"), spark.createDataFrame(right, "unit_id int, unit_name string, area string, homepage string")).collect()
+    right_ones = [(r.body_id, r.unit_id) in same for r in got]
+    assert sum(right_ones) >= 0.95 * len(got) and sum(right_ones) >= 0.9 * len(same)
+    assert abs(sum(r.confidence for r in got) - sum(right_ones)) < 0.08 * len(got)
