@@ -42,6 +42,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         return links.select(F.col("a").alias("id"), F.col("a").alias("group_id"))
     frontier = both.where(F.col("a") == F.lit(top)).select(F.col("a").alias("id")).limit(1)
     reached, whole = frontier, False
+    # a frontier holds each vertex once. While it is small the planner broadcasts it by its stored size, so the hub's
+    # links stay where they are; a large one is shuffled, and a key of many links is then split by adaptive execution
     for _ in range(_PEEL_ROUNDS):
         frontier = saved(both.join(frontier, F.col("a") == F.col("id"), "left_semi").select(F.col("b").alias("id")).distinct().join(reached, "id", "left_anti"))
         if frontier.isEmpty():
@@ -70,16 +72,16 @@ def _minimum_propagation(both: DataFrame) -> DataFrame:
     Links are contracted to the labels and rounds repeat on what is left. At least half of
     the vertices of a chain or tree vanish in a round, whatever its diameter.
     """
-    label = both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("id"), F.least("a", "b").alias("group_id"))
     names, links = None, both
     while True:
-        step = saved(_jumped(_jumped(label)))
+        # counted before the shuffle, and stored: both jumps read it, twice each
+        label = saved(links.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("id"), F.least("a", "b").alias("group_id")))
+        step = saved(_jumped(saved(_jumped(label))))
         names = step if names is None else saved(names.join(step.select(F.col("id").alias("group_id"), F.col("group_id").alias("to")), "group_id", "left").select("id", F.coalesce("to", "group_id").alias("group_id")))
         ends = links.join(step.select(F.col("id").alias("a"), F.col("group_id").alias("x")), "a").join(step.select(F.col("id").alias("b"), F.col("group_id").alias("y")), "b")
         links = saved(ends.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
         if links.isEmpty():
             return names
-        label = links.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("id"), F.least("a", "b").alias("group_id"))
 
 
 def _jumped(label: DataFrame) -> DataFrame:

@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 
 from civicgrain.llm.storage import saved
 
-_BUCKETS = 1024  # of the keys of a source; prefix sums run over buckets first, then within each
+# Prefix sums run over slices of the keys first, then within each. Keys are exponential, so however they are weighted
+# no stretch between two powers of two holds more than a few tenths of a source, and none of these slices more than a few thousandths.
+_SLICES = 256  # between a key and its double
 
 
 def tokenizer(name: str = "byte_bpe_50k.tiktoken") -> str:
-    """Path of a public tokenizer's vocabulary; the folder is ``$TOKENIZERS`` or /opt/tokenizers."""
+    """Path of a public tokenizer's vocabulary; the folder is ``$TOKENIZERS`` or /opt/tokenizers. The driver reads it and sends it on."""
     return os.path.join(os.environ.get("TOKENIZERS", "/opt/tokenizers"), name)
 
 
@@ -33,14 +35,15 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 def count_tokens(texts: DataFrame, path: str) -> DataFrame:
     """The rows with a column ``tokens``, the length of ``text`` in tokens of a byte-level vocabulary."""
     schema = texts.drop("text").schema.add("tokens", "long")
+    with open(path, "rb") as f:
+        vocabulary = texts.sparkSession.sparkContext.broadcast(f.read())  # a fixed file of about a megabyte
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import base64
 
         import tiktoken
 
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.value.splitlines())}
         encoder = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         for batch in batches:
             sizes = [len(encoder.encode_ordinary(t)) for t in batch.column("text").to_pylist()]
@@ -73,12 +76,15 @@ def mix_sources(documents: DataFrame, targets: DataFrame, tokenizer_path: str, t
     wanted = targets.where("source is not null and target_share > 0 and max_repeats > 0").groupBy(clean(F.col("source")).alias("source")).agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").cast("long").alias("max_repeats"))
     texts = documents.where("doc_id is not null and text is not null and text <> '' and source is not null").select(F.col("doc_id").cast("long").alias("doc_id"), clean(F.col("source")).alias("source"), "text")
     texts = texts.join(wanted.select("source"), "source", "left_semi")
-    # equal texts meet by their digest only; the texts themselves aren't shuffled
-    first = texts.groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    # equal texts meet by their digest only, and only those there are several of; where the planner can broadcast
+    # the copies, texts aren't shuffled. A text with a third of all rows is one row a task in the count.
+    digest = texts.select("doc_id", F.sha2("text", 256).alias("digest"))
+    several = digest.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    copies = saved(digest.join(several, "digest").where("doc_id <> first").select("doc_id"))
+    texts = texts.join(copies, "doc_id", "left_anti")
     u = (F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     sized = count_tokens(texts.withColumn("key", -F.log(u) / quality(F.col("text"))), tokenizer_path)
-    sized = saved(sized.where("tokens > 0"))
-    sized = saved(sized.join(first, "doc_id", "left_semi"))
+    sized = saved(sized.where("tokens > 0").dropDuplicates(["doc_id"]))
     held = saved(wanted.join(sized.groupBy("source").agg(F.sum("tokens").alias("available_tokens")), "source", "left").withColumn("available_tokens", F.coalesce("available_tokens", F.lit(0).cast("long"))))
     most = F.col("available_tokens") * F.col("max_repeats")
     if total_tokens is None:
@@ -87,8 +93,7 @@ def mix_sources(documents: DataFrame, targets: DataFrame, tokenizer_path: str, t
         total = float(total_tokens)
     plan = held.withColumn("budget_tokens", F.least(most, F.floor(F.lit(total) * F.col("target_share") + 1e-6).cast("long")))
     plan = plan.withColumn("epochs", F.when(F.col("available_tokens") > 0, F.floor(F.col("budget_tokens") / F.col("available_tokens"))).otherwise(0)).withColumn("rest", F.col("budget_tokens") - F.col("epochs") * F.col("available_tokens"))
-    # prefix sums: 1 - exp(-key) is spread over (0, 1), so its slices split a source of any size
-    sliced = sized.withColumn("slice", F.least(F.lit(_BUCKETS - 1), F.floor((1 - F.exp(-F.col("key"))) * _BUCKETS).cast("int")))
+    sliced = sized.withColumn("slice", F.floor(F.log2("key") * _SLICES).cast("int"))
     sums = sliced.groupBy("source", "slice").agg(F.sum("tokens").alias("held"))
     before = sums.withColumn("before", F.coalesce(F.sum("held").over(Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("source", "slice", "before")
     inside = F.sum("tokens").over(Window.partitionBy("source", "slice").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0))

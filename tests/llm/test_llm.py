@@ -286,6 +286,14 @@ def test_mixing(spark):
     assert mixing.mix_sources(docs.limit(0), targets, mixing.tokenizer())[0].count() == 0
 
 
+@pytest.mark.parametrize("weight", [1.0, 0.25, 0.01])
+def test_slices_of_a_source_are_even_at_any_weight(spark, weight):
+    """A source of texts of one quality: no slice of its keys holds more than a hundredth of it."""
+    u = (F.col("id") + 0.5) / 20_000
+    rows = spark.range(20_000).select(F.floor(F.log2(-F.log(u) / weight) * mixing._SLICES).alias("slice"))
+    assert rows.groupBy("slice").count().agg(F.max("count")).first()[0] <= 200
+
+
 def test_mixing_of_a_text_shared_with_a_source_without_target(spark):
     rows = [(1, "one two three four", "other"), (2, "one two three four", "big"), (3, "five six seven", "big"), (4, "five six seven", "big")]
     docs = frame(spark, rows, "doc_id long, text string, source string")
