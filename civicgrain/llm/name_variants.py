@@ -4,8 +4,9 @@ A spelling is read into proper names and the words that say what it is (trade an
 form, kind of building), abbreviations resolved. A symmetric-delete index over all proper
 names finds those one typing error apart; the rarer one of two is a variant of the commoner.
 Spellings that share a name and a kind are candidates. Their tokens are aligned by an
-optimal assignment that permits initials, nicknames and typing errors. However often they
-stand, spellings one typing error apart in one name are linked if all else in them agrees.
+optimal assignment that permits initials, nicknames, abbreviations and typing errors. However often they
+stand, spellings one typing error apart in one name are linked if all else in them agrees, and
+so are those in which one name is an abbreviation of the other and another name is the same.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from itertools import permutations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -49,6 +49,8 @@ _TRADE_OF = {form: t for t, forms in TRADES.items() for form in (t, *forms)}
 _DELETES = "concat(array(token), transform(sequence(1, length(token)), i -> concat(substring(token, 1, i - 1), substring(token, i + 1))))"
 _SWAP = "length(a.token) = length(b.token) and levenshtein(a.token, b.token) = 2 and array_sort(split(a.token, '')) = array_sort(split(b.token, ''))"
 _NEAR = f"(levenshtein(a.token, b.token) <= 1 or ({_SWAP}))"
+# a name cut short keeps its beginning, or its first and last letter with some of those between
+_ABBREVIATED = "length(s.token) > 1 and length(l.token) >= length(s.token) + 2 and (length(s.token) > 2 and startswith(l.token, s.token) or right(s.token, 1) = right(l.token, 1) and l.token rlike concat('^', array_join(split(s.token, ''), '.*'), '$'))"
 _ROLES = frozenset("role type kind status note notes".split())
 
 
@@ -153,6 +155,14 @@ def read_building(spelling: str) -> tuple[str, str, list[str]]:
     return "building", best[1], [rest[-1], *rest[:-1]] if len(rest) > 1 else rest
 
 
+def abbreviates(short: str, long: str) -> bool:
+    """Whether a name is the other one cut short: its beginning, or its first and last letter with some of those between."""
+    if len(short) < 2 or len(long) < len(short) + 2:
+        return False
+    rest = iter(long)
+    return (len(short) > 2 and long.startswith(short)) or (short[0] == long[0] and short[-1] == long[-1] and all(c in rest for c in short))
+
+
 def _cost(a: str, b: str, known: dict[str, str]) -> float | None:
     a, b = known.get(a, a), known.get(b, b)
     if a == b:
@@ -162,7 +172,9 @@ def _cost(a: str, b: str, known: dict[str, str]) -> float | None:
     x, y = _SHORT.get(a, a), _SHORT.get(b, b)
     if x == y or b in NICKNAMES.get(a, "").split() or a in NICKNAMES.get(b, "").split():
         return 0.1
-    return 0.4 if len(a) > 3 and _close(a, b) else None
+    if len(a) > 3 and _close(a, b):
+        return 0.4
+    return 0.2 if abbreviates(a, b) or abbreviates(b, a) else None
 
 
 def assign(a: list[str], b: list[str], known: dict[str, str], person: bool) -> float | None:
@@ -172,23 +184,45 @@ def assign(a: list[str], b: list[str], known: dict[str, str], person: bool) -> f
     """
     if len(a) > len(b):
         a, b = b, a
-    if not a or len(b) > 6:
-        return 0.0 if a == b and a else None
-    best = None
-    for chosen in permutations(range(len(b)), len(a)):
-        left = [b[k] for k in range(len(b)) if k not in chosen]
-        if left and not (person and all(len(t) == 1 for t in left)):
-            continue
-        total = 0.0
-        for x, k in zip(a, chosen):
-            c = _cost(x, b[k], known)
-            if c is None:
+    if not a:
+        return None
+    never = 1000.0
+    left_over = [0.0 if person and len(t) == 1 else never for t in b]
+    costs = [[never if (c := _cost(x, y, known)) is None else c for y in b] for x in a] + [left_over] * (len(b) - len(a))
+    total = least_assignment(costs)
+    return total if total < never else None
+
+
+def least_assignment(costs: list[list[float]]) -> float:
+    """The least total of a square matrix with one place a row and column, by shortest augmenting paths."""
+    n = len(costs)
+    rows, columns, owner = [0.0] * (n + 1), [0.0] * (n + 1), [n] * (n + 1)
+    for i in range(n):
+        owner[n], at = i, n
+        slack, seen, came = [float("inf")] * n, [False] * (n + 1), [n] * n
+        while True:
+            seen[at] = True
+            row, step, to = owner[at], float("inf"), n
+            for j in range(n):
+                if not seen[j]:
+                    value = costs[row][j] - rows[row] - columns[j]
+                    if value < slack[j]:
+                        slack[j], came[j] = value, at
+                    if slack[j] < step:
+                        step, to = slack[j], j
+            for j in range(n + 1):
+                if seen[j]:
+                    rows[owner[j]] += step
+                    columns[j] -= step
+                elif j < n:
+                    slack[j] -= step
+            at = to
+            if owner[at] == n:
                 break
-            total += c
-        else:
-            if best is None or total < best:
-                best = total
-    return best
+        while at != n:  # turn the path round
+            owner[at] = owner[came[at]]
+            at = came[at]
+    return sum(costs[owner[j]][j] for j in range(n))
 
 
 def _spellings(signals: DataFrame, documents: DataFrame) -> DataFrame:
@@ -233,9 +267,13 @@ def _misspelt(whole: DataFrame, linked: DataFrame) -> DataFrame:
     group = ["field", "body_id", "class", "kind", "rest"]
     each = whole.join(linked, ["field", "body_id", "spelling"]).withColumn("own", F.explode("t")).withColumn("rest", rest).withColumn("token", F.col("own.token"))
     index = each.where("length(token) > 3 and token rlike '^[^0-9]+$'").select(*group, "token", "entity").distinct().withColumn("key", F.explode(F.expr(_DELETES)))
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in (*group, "key")]
-    near = index.alias("a").join(index.alias("b"), [*same, F.col("a.token") < F.col("b.token"), F.col("a.entity") != F.col("b.entity")]).where(_NEAR)
-    links = saved(near.select("a.field", "a.body_id", F.col("a.entity").alias("x"), F.col("b.entity").alias("y")).distinct())
+    same = lambda l, r, *more: [F.col(f"{l}.{c}") == F.col(f"{r}.{c}") for c in (*group, *more)]
+    near = index.alias("a").join(index.alias("b"), [*same("a", "b", "key"), F.col("a.token") < F.col("b.token"), F.col("a.entity") != F.col("b.entity")]).where(_NEAR)
+    # only few spellings have a name, kind and first letter in common
+    cut = each.where("rest <> '' and rest not like '.%' and length(token) > 1 and token rlike '^[^0-9]+$'").select(*group, "token", "entity", F.substring("token", 1, 1).alias("letter")).distinct()
+    short = cut.alias("s").join(cut.alias("l"), [*same("s", "l", "letter"), F.col("s.entity") != F.col("l.entity")]).where(_ABBREVIATED)
+    links = near.select("a.field", "a.body_id", F.col("a.entity").alias("x"), F.col("b.entity").alias("y")).union(short.select("s.field", "s.body_id", "s.entity", "l.entity"))
+    links = saved(links.distinct())
     held = whole.join(linked, ["field", "body_id", "spelling"]).groupBy("field", "body_id", "entity").agg(F.sum("n").alias("n"))
     ends = links.select("field", "body_id", F.col("x").alias("entity")).union(links.select("field", "body_id", "y")).distinct()
     ids = saved(held.join(ends, ["field", "body_id", "entity"]).withColumn("id", F.monotonically_increasing_id()))
@@ -269,8 +307,9 @@ def link_spellings(signals: DataFrame, documents: DataFrame) -> DataFrame:
     known = F.create_map(*[F.lit(x) for pair in _SHORT.items() for x in pair])
     full = lambda c: F.coalesce(F.try_element_at(known, c), c)
     firm = F.col("class") == "firm"
-    given = F.filter(F.slice("canon", 2, 6), lambda t: F.length(t) > 1)
-    initials = F.filter(F.slice("canon", 2, 6), lambda t: F.length(t) == 1)
+    after = F.slice("canon", F.lit(2), F.greatest(F.size("canon") - 1, F.lit(0)))
+    given = F.filter(after, lambda t: F.length(t) > 1)
+    initials = F.filter(after, lambda t: F.length(t) == 1)
     base = whole.withColumn("surname", F.when(firm, F.array_join(F.array_sort("canon"), " ")).otherwise(F.get("canon", F.lit(0))))
     base = base.withColumn("given", F.when(firm, F.lit("")).otherwise(F.array_join(F.transform(given, full), " "))).withColumn("initial", F.when(firm | (F.size(given) > 0), F.lit(None)).otherwise(F.get(initials, F.lit(0))))
     group = ["field", "body_id", "class", "kind", "surname"]

@@ -31,19 +31,23 @@ _VETO_NEXT = (
     "Inc|LLC|L\\.L\\.C|Corp|Corporation|Co|Company|Ltd|PC|P\\.C|Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Dr|Boulevard|Blvd|Place|Pl|Court|Ct|Committee|Foundation|Fund|Scholarship|Memorial|NY|&"
 )
 _STREETS = "Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Dr|Boulevard|Blvd|Place|Pl|Court|Ct|Terrace|Ter|Circle|Cir|Way|Highway|Hwy|Parkway|Pkwy|Turnpike|Tpke|Square|Sq|Path|Trail"
+# Postal codes of the states, and how the state of the documents is written out.
+_STATES = (
+    "AL|AK|AZ|AR|CA|CO|CT|DE|FL|GA|HI|ID|IL|IN|IA|KS|KY|LA|ME|MD|MA|MI|MN|MS|MO|MT|NE|NV|NH|NJ|NM|NY|NC|ND|OH|OK|OR|PA|RI|SC|SD|TN|TX|UT|VT|VA|WA|WV|WI|WY|DC|N\\.Y\\.|New York"
+)
 _BREAK = r"(?:[-‐¬­~|]\s*\n\s*[a-z]+)?"
 _SUR = r"(?:(?:O['’]|Mc|Mac|De|Di|Van|Le|La)(?=[A-Z]))?[A-ZÀ-Þ][\w'’|~]*[\wà-ÿ]" + _BREAK + r"(?:[-‐](?:O['’]|Mc)?[A-ZÀ-Þ][\w'’]+" + _BREAK + ")?"
 _GIV = r"[A-ZÀ-Þ][\w|~]*[\wà-ÿ]" + _BREAK
 _GAP = r"(?:[^\S\n]+|[^\S\n]*\n[^\S\n]*)"  # a blank line ends a name
 _MID = "(?:" + _GAP + r"[A-Z]\.)"
 EMAIL = re.compile(r"(?<![\w.+-])[\w+-]+(?:\.[\w+-]+)*@[\w-]+(?:\.[\w-]+)+")
-_LOCAL = re.compile(r"[^\s@(<\[,;:]*$")
+_STOPS = frozenset(" \t\n\r\f\v\u00a0@(<[,;:")
 PHONE = re.compile(r"(?=[+(\d])(?<![\w.$#-])(?:\+?1[ .-])?(?:\(\d{3}\)\s?|\d{3}[ ./-])\d{3}[ .-]\d{4}(?![\w-]|\.\d)|(?=\d)(?<![\w.$#/-])(?<!\d )\d{3}-\d{4}(?![\w-]|\.\d)")
 NUMBER = re.compile(r"(?=[A-Z\d])(?<![\w.$-])(?:\d{3}([-. ])\d{2}\1\d{4}|\d{3} \d{3} \d{3}|\d{9}|[A-Z]{1,2}-?\d{5,9})(?![\w-]|\.\d)")
 ADDRESS = re.compile(
     r"(?=[\dP])(?<![\w.$/-])(?:\d{1,5}[A-Z]?\s+(?:[NSEW]\.?\s+)?(?:[A-Z][\w'’]+\s+){1,3}?(?:" + _STREETS + r")\b\.?|(?:P\.?\s?O\.?|Post Office)\s+Box\s+\d+)"
     r"(?:,?\s+(?:(?:Apt|Apartment|Unit|Suite|Ste|Floor|Fl|Rm|Room)\.?\s*#?\s*|#\s?)[\w-]+)?"
-    r"(?:,\s+(?:[A-Z][\w'’.-]+\s+){0,2}[A-Z][\w'’-]+,\s+(?:NY|N\.Y\.|New York)(?:\s+\d{5}(?:-\d{4})?)?)?"
+    r"(?:,\s+(?:[A-Z][\w'’.-]+\s+){0,2}[A-Z][\w'’-]+,\s+(?:" + _STATES + r")(?:\s+\d{5}(?:-\d{4})?)?)?"
 )
 NAME = re.compile(
     r"(?=[A-ZÀ-Þ])(?:\b(?P<title>" + _TITLES + r")\b\.?\s+)?"
@@ -58,7 +62,8 @@ _NEXT = re.compile(r"\s*(?:" + _VETO_NEXT + r")\b")
 _SIDE = re.compile(r"[^\W\d_]+[#.]?|\d+|[^\w\s]")
 _SEEDED = re.compile(r"(?:\(\d{3}\)|\+1)")
 _NOT_GIVEN = frozenset("the a an on in at by of for to and or with as is".split())
-ROUNDS = 3
+_MOST_ROUNDS = 20  # the rounds end when nothing new is known; each adds instances, so they do end
+_BROADCAST_ROWS = 300_000  # confident patterns and instances of 40 bytes or so; beyond it the joins shuffle
 
 
 def _around(text: str, start: int, end: int) -> tuple[str, str]:
@@ -86,7 +91,10 @@ def candidates_of(text: str) -> list[tuple[str, str, str, str, str, bool, int, i
 
     at = text.find("@")
     while at >= 0:  # from sign to sign: trying every word for an address is slow
-        m = EMAIL.search(text, at - len(_LOCAL.search(text[max(0, at - 80) : at])[0]), at + 120)
+        start = at
+        while start and text[start - 1] not in _STOPS:
+            start -= 1
+        m = EMAIL.search(text, start)
         if m and m.start() < at < m.end():
             add("email", *m.span(), m[0].lower(), True)
         at = text.find("@", at + 1)
@@ -153,15 +161,15 @@ def _candidates(documents: DataFrame) -> DataFrame:
 
 
 def _bootstrap(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(kind, pattern) and (kind, instance) that a few rounds over the graph make confident."""
+    """(kind, pattern) and (kind, instance) that rounds over the graph make confident, until a round adds nothing."""
     open_ = candidates.where("kind in ('phone', 'id_number', 'name')")
     sides = F.explode(F.array(F.concat(F.lit("L "), "left"), F.concat(F.lit("R "), "right")))
     told = open_.select("kind", sides.alias("pattern"), "instance", "certain").where("kind <> 'name' or (pattern not like 'L %.' and substring(pattern, 3) rlike '[^0-9 ,.;:-]')")  # anything may begin a sentence
     edges = saved(told.groupBy("kind", "pattern", "instance").agg(F.count("*").alias("n"), F.max("certain").alias("certain")))
     shape = F.col("kind") == "name"
     known = saved(edges.where((shape & F.col("instance").isin(SEED_GIVEN)) | (~shape & F.col("certain"))).select("kind", "instance").distinct())
-    sure = None
-    for _ in range(ROUNDS):
+    sure, held = None, -1
+    for _ in range(_MOST_ROUNDS):
         told = edges.where(~shape | ~F.col("instance").startswith("?")).join(known.withColumn("good", F.lit(1)), ["kind", "instance"], "left")
         score = told.groupBy("kind", "pattern").agg(F.sum(F.col("good") * F.col("n")).alias("good"), F.sum("n").alias("n"), F.countDistinct(F.when(F.col("good") == 1, F.col("instance"))).alias("kinds"))
         share = F.lit(0.1)
@@ -170,9 +178,17 @@ def _bootstrap(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
         seen = edges.join(sure.withColumn("good", F.lit(1)), ["kind", "pattern"], "left").groupBy("kind", "instance").agg(F.sum(F.col("good") * F.col("n")).alias("good"), F.sum("n").alias("n"))
         new = seen.where((shape & (F.col("good") >= 2) & (F.col("good") >= 0.3 * F.col("n"))) | (~shape & (F.col("good") >= 1))).select("kind", "instance")
         known = saved(known.union(new).distinct())
+        if (now := known.count()) == held:
+            break
+        held = now
     return sure, known
 
 
+def _bounded(frame: DataFrame) -> DataFrame:
+    """Marked for broadcast if its counted rows are few, so that the hottest contexts aren't shuffled; else left to a shuffled join."""
+    return F.broadcast(frame) if frame.count() <= _BROADCAST_ROWS else frame
+
+
 def find_personal_information(documents: DataFrame) -> DataFrame:
     """(doc_id, pii_kind, found, start, end) of each piece of personal information, as often as it stands.
 
@@ -182,7 +198,8 @@ def find_personal_information(documents: DataFrame) -> DataFrame:
     sure, known = _bootstrap(candidates)
     left = sure.where("pattern like 'L %'").select("kind", F.expr("substring(pattern, 3)").alias("left"), F.lit(True).alias("left_sure"))
     right = sure.where("pattern like 'R %'").select("kind", F.expr("substring(pattern, 3)").alias("right"), F.lit(True).alias("right_sure"))
-    rows = candidates.join(left, ["kind", "left"], "left").join(right, ["kind", "right"], "left").join(known.withColumn("known", F.lit(True)), ["kind", "instance"], "left")
+    known = saved(known.withColumn("known", F.lit(True)))
+    rows = candidates.join(_bounded(left), ["kind", "left"], "left").join(_bounded(right), ["kind", "right"], "left").join(_bounded(known), ["kind", "instance"], "left")
     flag = lambda c: F.coalesce(F.col(c), F.lit(False))
     name = F.col("kind") == "name"
     ok = F.when(F.col("kind").isin("email", "address"), F.lit(True))

@@ -1,12 +1,14 @@
 """Problem 1: noise of scanned pages, found line by line and repaired into paragraphs.
 
-Two averaged perceptrons are trained on each run, on the corpus itself and without labels:
+Three averaged perceptrons are trained on each run, on the corpus itself and without labels:
 
 * a character editor. The corpus' frequent words, given the misreadings that scanning makes,
   are its training pairs; for each character it predicts keep, delete, or another string
   (replace, or replace and insert). Its proposals for a word count only if they lead to a
-  word the corpus knows far better. Line joins are predicted the same way: the editor's
-  dictionary decides whether the parts on both sides of a break are one word.
+  word the corpus knows far better.
+* line joins, the editor's operation between lines. Words of the corpus broken anywhere, half of them as if the
+  corpus didn't know them, and compounds broken at their own hyphen are its training pairs; it predicts join or keep
+  from what the dictionary knows of both parts and of the whole.
 * a furniture classifier over lines with features of the position on the page: distance
   to the edges of the document and to the nearest page number, recurrence at page distance,
   and whether the line interrupts a sentence.
@@ -215,7 +217,7 @@ def _train_furniture(texts: list[str], rounds: int = 6, seed: int = 7) -> np.nda
     x, y = _crossed(np.concatenate(rows)), np.concatenate(labels).astype(np.float64)
     random = np.random.default_rng(seed)
     for _ in range(rounds):
-        for i in random.permutation(len(y))[:20_000]:
+        for i in random.permutation(len(y)):
             step += 1
             if y[i] * (x[i] @ weights) <= 0:
                 weights += y[i] * x[i]
@@ -224,10 +226,49 @@ def _train_furniture(texts: list[str], rounds: int = 6, seed: int = 7) -> np.nda
 
 
 def _crossed(f: np.ndarray) -> np.ndarray:
-    a, b = np.triu_indices(_LINE_FEATURES, 1)
+    a, b = np.triu_indices(f.shape[1], 1)
     return np.concatenate([f, f[:, a] * f[:, b]], axis=1)
 
 
+def _join_features(left: str, right: str, whole: int, lone: tuple[int, int], known: tuple[bool, bool], compound: bool, soft: bool) -> list[float]:
+    """What tells a broken word from a compound: counts of the whole, of both parts standing alone, and whether the compound is one the corpus writes."""
+    return [
+        1, whole >= 3, whole >= _LEAST, whole >= _RATIO * max(min(lone), 1), known[0], known[1], known[0] and known[1], compound,
+        compound and whole < _LEAST, soft, len(right) < 4 and not known[1], len(left) < 4 and not known[0],
+    ]
+
+
+def _train_joins(model: Model, words: list[str], rounds: int = 6, seed: int = 7) -> np.ndarray:
+    """Weights of the averaged perceptron for line joins."""
+    random = np.random.default_rng(seed)
+    rows, labels = [], []
+    for word in words:
+        if len(word) > 5:
+            at = int(random.integers(2, len(word) - 1))
+            rows.append(model.join_features(word[:at], word[at:], False, hidden=random.random() < 0.5))
+            labels.append(1.0)
+    for compound in sorted(model.compounds)[: len(words)]:
+        left, _, right = compound.rpartition("-")
+        rows.append(model.join_features(left.split("-")[-1], right, False, stem=left))
+        labels.append(-1.0)
+    x = np.array(rows, np.float64).reshape(len(rows), -1)
+    if not len(x):
+        x, labels = np.zeros((1, _JOIN_FEATURES)), [1.0]
+        x[0, 0] = 1
+    x, y = _crossed(x), np.array(labels)
+    weights, total, step = np.zeros(x.shape[1]), np.zeros(x.shape[1]), 0
+    for _ in range(rounds):
+        for i in random.permutation(len(y)):
+            step += 1
+            if y[i] * (x[i] @ weights) <= 0:
+                weights += y[i] * x[i]
+                total += step * y[i] * x[i]
+    return weights - total / max(step, 1)
+
+
+_JOIN_FEATURES = 12
+
+
 def _usual(token: str, word: str) -> bool:
     """Whether one stray mark or one usual confusion makes the token of the word."""
     for i in range(len(token)):
@@ -243,6 +284,7 @@ class Model:
         self.repairs: dict[str, str | None] = {}
         self.clean: set[str] = set()  # tokens as they stand that need no closer look
         self._halves: set[str] | None = None
+        self.joins: np.ndarray | None = None
         self._learn([w for w in counts if len(w) > 1])
 
     def _learn(self, tokens: list[str]) -> None:
@@ -358,15 +400,16 @@ class Model:
         if not m or not rest:
             return None
         left, right = m[1].split("-")[-1], rest[1]
-        whole = (left + right).lower()
         if right[0].isupper() and not left.isupper():
             return None
-        if line.rstrip()[-1] == "-" or line.rstrip()[-1] == "‐":
-            if (m[1].lower() + "-" + right.lower()) in self.prefixes and self.counts.get(whole, 0) < _LEAST:
-                return None
-            if self.counts.get(whole, 0) < 3 and self.known(left.lower()) and self.known(right.lower()):
-                return None
-        return left + right
+        soft = line.rstrip()[-1] not in "-‐"
+        features = np.array([self.join_features(left.lower(), right.lower(), soft, stem=m[1].lower())], np.float64)
+        return left + right if float((_crossed(features) @ self.joins)[0]) > 0 else None
+
+    def join_features(self, left: str, right: str, soft: bool, stem: str | None = None, hidden: bool = False) -> list[float]:
+        whole = 0 if hidden else self.counts.get(left + right, 0)
+        compound = f"{stem or left}-{right}" in self.prefixes
+        return _join_features(left, right, whole, (self.alone(left), self.alone(right)), (self.known(left), self.known(right)), compound, soft)
 
     def read(self, text: str, repair: bool = True) -> tuple[list[tuple[int, str]], str | None]:
         """((line number, noise kind) of the text, the text in continuous paragraphs if asked for)."""
@@ -448,9 +491,9 @@ def _counted(documents: DataFrame) -> DataFrame:
 
 
 def train(documents: DataFrame, lexicon: int = LEXICON_WORDS, words: int = TRAINING_WORDS, sample: int = TRAINING_DOCUMENTS) -> Model:
-    """Both perceptrons and the dictionary: all words that stand at least 3 times in the documents.
+    """The perceptrons and the dictionary: all words that stand at least 3 times in the documents.
     More than ``lexicon`` of them are an error, as a part of them would make rare words unknown.
-    The editor is fitted on ``words`` of them, the furniture classifier on the ``sample``
+    The editor and the line joins are fitted on ``words`` of them, the furniture classifier on the ``sample``
     documents of smallest hash; these two bounds hold whatever the corpus' size."""
     top = _counted(documents).where("n >= 3").orderBy(F.desc("n"), "word").limit(lexicon + 1).collect()
     if len(top) > lexicon:
@@ -461,7 +504,9 @@ def train(documents: DataFrame, lexicon: int = LEXICON_WORDS, words: int = TRAIN
     plain = [w for w in counts if "-" not in w and len(w) > 3 and counts[w] >= _LEAST][:words]
     texts = [r["text"] for r in documents.where("text is not null").select("text", F.xxhash64("doc_id").alias("h")).orderBy("h").limit(sample).collect()]
     editor = Editor.train(plain) if plain else Editor([KEEP, DELETE], np.zeros((_HASH, 2), np.float32))
-    return Model(counts, compounds, editor, _train_furniture(texts), pieces)
+    model = Model(counts, compounds, editor, _train_furniture(texts), pieces)
+    model.joins = _train_joins(model, [w for w in counts if "-" not in w][:words])
+    return model
 
 
 def read_pages(documents: DataFrame, model: Model | None = None, repair: bool = True) -> DataFrame:

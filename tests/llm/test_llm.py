@@ -319,6 +319,12 @@ def test_personal_information(spark):
     assert "[EMAIL]" in text[0] and "[SSN" not in text[0] and "901-22" not in text[0] and text[100] is None and text[101] == ""
 
 
+def test_mail_of_any_length_and_other_states(spark):
+    rows = [(1, "Write to " + "a" * 300 + "@" + "b" * 200 + ".example now."), (2, "He lives at 12 Oak St, Dover, NJ 07801 and at 4 Elm Avenue, Salem, Oregon.")]
+    found = {(r.doc_id, r.pii_kind, r.found) for r in personal_information.find_personal_information(frame(spark, rows)).collect()}
+    assert (1, "email", "a" * 300 + "@" + "b" * 200 + ".example") in found and (2, "address", "12 Oak St, Dover, NJ 07801") in found and (2, "address", "4 Elm Avenue") in found
+
+
 def noisy(rng, word):
     i = rng.randrange(1, len(word) - 1)
     return rng.choice([word[:i] + "|" + word[i:], " ".join(word), word.replace("e", "c", 1) if "e" in word else word[:i] + "~" + word[i:]])
@@ -366,6 +372,33 @@ def test_split_words_whose_halves_recur(spark):
     assert {(d, i) for d, i, k in got if k == "hyphen"} == {(300 + i, 0) for i in range(10)}
 
 
+def test_line_joins_are_learned():
+    """The join perceptron keeps compounds the corpus writes, and joins words it knows and words it doesn't."""
+    letters = "abcdefghiklmnoprstu"
+    rng = random.Random(13)
+    made = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    counts = {made(rng.randint(6, 12)): rng.randint(3, 300) for _ in range(600)}
+    halves = {made(5): 50 for _ in range(40)}
+    names = list(halves)
+    compounds = {f"{a}-{b}": 10 for a, b in zip(names[::2], names[1::2])}
+    model = scan_noise.Model(counts | halves | compounds, set(compounds), scan_noise.Editor(["=", ""], np.zeros((scan_noise._HASH, 2), np.float32)), np.zeros(1), {})
+    model.joins = scan_noise._train_joins(model, list(counts))
+    for c in compounds:
+        a, b = c.split("-")
+        assert model.broken(f"the {a}-", f"{b} of") is None
+    word = next(iter(counts))
+    assert model.broken(f"the {word[:3]}-", f"{word[3:]} of") == word
+    assert model.broken("the zzyzzq-", "quxzzum of") == "zzyzzqquxzzum"  # neither part is a word
+    assert model.broken("the zzy-", "Quxzzum") is None and model.broken("no hyphen", "below") is None
+
+
+def test_capitalised_split_words(spark):
+    """A split word is looked for at a capital too, in ``prepare`` as in ``line``."""
+    rows = [(i, "The board recommended the library and was recommended\nto the school") for i in range(40)] + [(99, "Recom mended by the board")]
+    got = {tuple(r) for r in scan_noise.read_pages(frame(spark, rows), repair=False).select("doc_id", F.inline("noise")).collect()}
+    assert (99, 0, "chars") in got
+
+
 def test_dictionary_is_whole_or_an_error(spark):
     letters = "abcdefghijklmnopqrstuvwxyz"
     made = [letters[i // 17576] + letters[i // 676 % 26] + letters[i // 26 % 26] + letters[i % 26] for i in range(81_000)]
@@ -390,6 +423,27 @@ def test_name_variants(spark):
     assert name_variants.spelling_pairs(signals.limit(0), docs).count() == 0
 
 
+def test_assignment_against_all_permutations():
+    from itertools import permutations
+
+    rng = random.Random(7)
+    for _ in range(300):
+        n = rng.randint(1, 5)
+        costs = [[rng.choice([0.0, 0.1, 0.3, 0.4, 1000.0]) for _ in range(n)] for _ in range(n)]
+        assert abs(name_variants.least_assignment(costs) - min(sum(costs[i][j] for i, j in enumerate(p)) for p in permutations(range(n)))) < 1e-9
+    assert name_variants.assign(["thaxloard", "william"], ["william", "thaxloard", "q"], {}, True) == 0 and name_variants.assign(["a"], ["a", "bcd"], {}, True) is None
+    eight = "one two three four five six seven eight".split()
+    assert name_variants.assign(eight, eight[::-1], {}, False) == 0
+
+
+def test_abbreviated_names(spark):
+    assert name_variants._cost("assoc", "associates", {}) == name_variants._cost("brothers", "bros", {}) == 0.2 and name_variants._cost("dun", "kell", {}) is None
+    vendors = ["Kellostock Associates Roofing Inc.", "Kellostock Assoc. Roofing", "Duntuman Brothers Plumbing", "Duntuman Bros Plumbing LLC", "Duntuman Brewster Plumbing", "Tellorqua Associates Roofing"]
+    signals = spark.createDataFrame([(1, f'["{v}"]', None) for v in vendors], "document_id int, vendors_named string, building string")
+    got = {(r.spelling_a, r.spelling_b) for r in name_variants.spelling_pairs(signals, spark.createDataFrame([(1, "b1")], "doc_id long, body_id string")).collect()}
+    assert got == {("Kellostock Assoc. Roofing", "Kellostock Associates Roofing Inc."), ("Duntuman Bros Plumbing LLC", "Duntuman Brothers Plumbing")}
+
+
 def test_name_variants_that_are_common(spark):
     """A misspelling is linked however many rows it has, a tie too, if all else in the spelling agrees."""
     counts = {"Kramtuini Middle School": 110, "Kratmuini Mid. School": 49, "Kramtuini Library": 20, "Kratmuini Pool": 20, "Brenwick High School": 8, "Brenwikc H.S.": 8, "Ward 1234 School": 5, "Ward 1235 School": 5}
