@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -10,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicgrain.functions.text import evidence_found, json_array, money
+from civicgrain.operators.scan import Vocabulary
+from civicgrain.operators.tables import written
 
 CHUNK = 12_000
 SIGNAL = (
@@ -18,47 +19,67 @@ SIGNAL = (
 )
 
 
-def pack(text: str, size: int, separator: str) -> list[str]:
-    """Passages between separators put together while they fit; one that doesn't fit stands alone."""
-    if len(text) <= size:
-        return [text]
-    out, held, length = [], [], 0
-    for passage in (p.strip() for p in re.split(separator, text)):
-        if not passage:
-            continue
-        if held and length + len(passage) + 2 > size:
-            out.append("\n\n".join(held))
-            held, length = [], 0
-        held.append(passage)
-        length += len(passage) + (2 if length else 0)
-    return out + ["\n\n".join(held)] if held else out
+def packed(text: Column, size: int, separator: str) -> Column:
+    """Passages between separators put together while they fit; one that doesn't fit stands alone. A text that fits stays as it is."""
+    strip = lambda p: F.regexp_replace(p, r"(?U)^\s+|\s+$", "")
+    passages = F.filter(F.transform(F.split(text, separator), strip), lambda p: p != "")
+
+    def put(held: Column, p: Column) -> Column:
+        full = (held["now"] != "") & (F.length(held["now"]) + F.length(p) + 2 > size)
+        done = F.when(full, F.concat(held["done"], F.array(held["now"]))).otherwise(held["done"])
+        return F.struct(done.alias("done"), F.when(full | (held["now"] == ""), p).otherwise(F.concat(held["now"], F.lit("\n\n"), p)).alias("now"))
+
+    nothing = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("now"))
+    parts = F.aggregate(passages, nothing, put, lambda held: F.when(held["now"] == "", held["done"]).otherwise(F.concat(held["done"], F.array(held["now"]))))
+    return F.when(F.length(text) <= size, F.array(text)).otherwise(parts)
 
 
 def chunks(documents: DataFrame, size: int = CHUNK, separator: str = r"\n\s*\n") -> DataFrame:
-    """(doc_id, chunk_index, chunk). The fold depends on order, so a text is one row of a pandas UDF."""
+    """(doc_id, chunk_index, chunk), by a fold over a text's passages inside the row."""
+    rows = documents.where("text is not null and text <> ''")
+    return rows.select("doc_id", F.posexplode(packed(F.col("text"), size, separator)).alias("chunk_index", "chunk"))
 
-    @F.pandas_udf("array<string>")
-    def packed(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: pack(t, size, separator))
 
-    rows = documents.where("text is not null and text <> ''").select("doc_id", packed("text").alias("parts"))
-    return rows.select("doc_id", F.posexplode("parts").alias("chunk_index", "chunk"))
+def prompt(words: Vocabulary, fields: dict[str, str]) -> str:
+    """What a model is told: keys of trades and stages with their labels, the fields wanted, and the rules."""
+    listed = lambda title, rows: "\n".join([f"{title}:", *(f"  {k}: {v}" for k, v in rows.items())])
+    rules = (
+        "Answer with a JSON array of objects, one for each project or purchase, or [] if there is none.",
+        "Staff matters, tuition, curriculum and policy are no signals.",
+        "Copy evidence_quote and stage_evidence word for word from the text.",
+        "Use keys of the lists only; the stage is unknown unless words about this project show it.",
+    )
+    return "\n\n".join([listed("Trades", words.labels("trades")), listed("Stages", words.labels("stages")), listed("Fields", fields), "\n".join(rules)])
 
 
-def classify(documents: DataFrame, model: Callable[[str], str], size: int = CHUNK) -> DataFrame:
+def classify(documents: DataFrame, model: Callable[[str], str], size: int = CHUNK, retry: Callable[[str], str] | None = None) -> DataFrame:
     """Signals of documents by an injected model that answers a chunk with a JSON array.
 
     Only a literal false drops a signal. ``quote_verified`` and ``stage_verified`` tell
-    whether what was quoted stands in the document; an unknown stage has no evidence.
+    whether what was quoted stands in the chunk; an unknown stage has no evidence. Where some
+    quote of a chunk's answer doesn't, ``retry`` (if given) is asked once, and its first
+    signal of the same scope takes the place of the one at fault; what it quotes is checked again.
     """
 
-    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch.doc_id, "chunk_index": batch.chunk_index, "answer": [model(c) for c in batch.chunk]})
-
-    said = chunks(documents, size).mapInPandas(answer, "doc_id long, chunk_index int, answer string")
-    rows = said.select("doc_id", "chunk_index", F.explode(json_array(F.col("answer"), SIGNAL)).alias("s")).where("s.is_signal is null or s.is_signal")
-    rows = rows.select("doc_id", F.col("chunk_index").alias("passage_index"), "s.*").join(documents.select("doc_id", "text", "text_method"), "doc_id")
+    def answers(ask: Callable[[str], str]) -> Callable:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                yield batch.assign(answer=[ask(c) for c in batch.chunk])
+
+        return run
+
+    shape = "doc_id long, chunk_index int, chunk string, text_method string, answer string"
+    asked = chunks(documents, size).join(documents.select("doc_id", "text_method"), "doc_id").select("doc_id", "chunk_index", "chunk", "text_method")
+    said = written(asked.mapInPandas(answers(model), shape))  # a model is asked once
+    found = lambda s: evidence_found(s["evidence_quote"], F.col("chunk")) & evidence_found(s["stage_evidence"], F.col("chunk"))
+    signals = said.select("doc_id", "chunk_index", "chunk", "text_method", F.posexplode(json_array(F.col("answer"), SIGNAL)).alias("n", "s")).where("s.is_signal is null or s.is_signal")
+    if retry is not None:
+        signals = written(signals.withColumn("ok", found(F.col("s"))))
+        at_fault = signals.where("not ok").select("doc_id", "chunk_index", "chunk", "text_method").distinct()
+        again = written(at_fault.mapInPandas(answers(retry), shape)).select("doc_id", "chunk_index", json_array(F.col("answer"), SIGNAL).alias("again"))
+        same = F.get(F.filter("again", lambda r: r["scope_summary"].eqNullSafe(F.col("s.scope_summary"))), F.lit(0))
+        signals = signals.join(again, ["doc_id", "chunk_index"], "left").withColumn("s", F.when(F.col("ok"), F.col("s")).otherwise(F.coalesce(same, F.col("s"))))
+    rows = signals.select("doc_id", F.col("chunk_index").alias("passage_index"), F.col("chunk").alias("text"), "text_method", "s.*")
     known = F.coalesce(F.col("stage"), F.lit("unknown")) != "unknown"
     evidence = F.when(known, F.col("stage_evidence"))
     amount = money(F.col("dollar_amount"))
@@ -90,3 +111,22 @@ def within_budget(runs: DataFrame, prices: dict[str, tuple[float, float]], cap:
     inside = F.coalesce(F.sum("cost").over(Window.partitionBy("day", "hour").orderBy("created_at", "run_id").rowsBetween(past, -1)), F.lit(0.0))
     spent = rows.withColumn("inside", inside).join(before, ["day", "hour"]).withColumn("spent_before", F.col("base") + F.col("inside"))
     return spent.where(F.col("spent_before") < cap).select("day", "run_id", F.round("spent_before", 6).alias("spent_before"))
+
+
+def cost_summary(runs: DataFrame, prices: dict[str, tuple[float, float]], cap: float) -> DataFrame:
+    """(day, runs, spent, cap, reached, remaining) of each day, models summed."""
+    days = runs.where("created_at is not null").groupBy(F.to_date("created_at").alias("day")).agg(F.count("*").alias("runs"), F.sum(run_cost(prices)).alias("cost"))
+    limit = F.lit(float(cap))
+    return days.select("day", "runs", F.round("cost", 6).alias("spent"), limit.alias("cap"), (F.col("cost") >= limit).alias("reached"), F.round(F.greatest(limit - F.col("cost"), F.lit(0.0)), 6).alias("remaining"))
+
+
+def to_classify(documents: DataFrame, ids: list[int] | None = None, everything: bool = False) -> DataFrame:
+    """The documents a run would take: those named, else all scanned ones, else the scanned ones in the window; none without a text.
+
+    An empty list names nothing and counts as not given. Those left out keep their status.
+    """
+    ready = documents.where("text is not null and text <> ''")
+    if ids:
+        return ready.where(F.col("doc_id").isin([int(i) for i in ids]))
+    scanned = ready.where("status = 'scanned'")
+    return scanned if everything else scanned.where("in_window")

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civicgrain.functions.text import any_keyword, matching_keys, plain_blanks, without_phrases
+from civicgrain.functions.text import any_keyword, first_seen_keywords, matching_keys, plain_blanks, without_phrases
 
 BEFORE, AFTER, LEAST = 2, 3, 25
 
@@ -21,6 +21,7 @@ class Vocabulary:
     triggers: list[str] = field(default_factory=list)
     negatives: list[str] = field(default_factory=list)
     skips: list[str] = field(default_factory=list)
+    names: dict[str, dict[str, str]] = field(default_factory=dict)
 
     @classmethod
     def from_yaml(cls, path: str) -> Vocabulary:
@@ -31,7 +32,12 @@ class Vocabulary:
             raw = yaml.safe_load(f)
         groups = lambda part: {str(k): [str(w) for w in v["keywords"]] for k, v in (raw.get(part) or {}).items()}
         words = lambda part: [str(w) for w in raw.get(part) or []]
-        return cls(groups("trades"), groups("stages"), words("triggers"), words("negatives"), words("skip_patterns"))
+        names = {part: {str(k): " - ".join(str(v[x]) for x in ("label", "value") if v.get(x)) for k, v in (raw.get(part) or {}).items()} for part in ("trades", "stages")}
+        return cls(groups("trades"), groups("stages"), words("triggers"), words("negatives"), words("skip_patterns"), names)
+
+    def labels(self, part: str) -> dict[str, str]:
+        """What each key of trades or stages stands for, the key itself where the file doesn't say."""
+        return {k: self.names.get(part, {}).get(k) or k for k in getattr(self, part)}
 
     def telling(self) -> list[str]:
         return [w for words in self.trades.values() for w in words] + self.triggers
@@ -54,40 +60,47 @@ def keyword_lines(documents: DataFrame, words: Vocabulary) -> DataFrame:
 
 
 def keyword_passages(documents: DataFrame, words: Vocabulary) -> DataFrame:
-    """(doc_id, passage_index, start_line, end_line, passage_text, trades, stages, triggers).
+    """(doc_id, passage_index, start_line, end_line, passage_text, trades, stages, triggers, keywords).
 
     Hit lines with two lines before and three after; frames that touch are one passage.
-    Passages shorter than 25 characters go before numbering. A fold over the hit lines of a
-    document makes the frames, so nothing is shuffled.
+    Passages shorter than 25 characters go before numbering. Hits further apart than a frame
+    begin and end passages, so frames, texts and numbers are made inside the row: nothing is
+    shuffled. ``keywords`` holds those of trades and triggers as they are first met.
     """
     lines = F.split("text", "\n")
     base = documents.where("text is not null").select("doc_id", lines.alias("lines"), F.transform(lines, words.clean).alias("clean"))
     telling = words.telling()
-    hit = F.filter(F.transform("clean", lambda x, i: F.when(any_keyword(x, telling), i)), lambda i: i.isNotNull())
-    base = base.withColumn("hits", hit).where(F.size("hits") > 0)
-    frame = F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"))
-    empty = F.slice(F.array(frame), 1, 0)
-
-    def put(frames: Column, i: Column) -> Column:
-        last = F.get(frames, F.size(frames) - 1)
-        joins = (F.size(frames) > 0) & (i - last["b"] <= BEFORE + AFTER + 1)
-        whole = F.concat(F.slice(frames, 1, F.greatest(F.size(frames) - 1, F.lit(0))), F.array(F.struct(last["a"].alias("a"), i.alias("b"))))
-        return F.when(joins, whole).otherwise(F.concat(frames, F.array(F.struct(i.alias("a"), i.alias("b")))))
-
-    frames = F.aggregate("hits", empty, put)
-    rows = base.select("doc_id", "lines", "clean", "hits", F.explode(frames).alias("f"))
-    start, end = F.greatest(F.col("f.a") - BEFORE, F.lit(0)), F.least(F.col("f.b") + AFTER, F.size("lines") - 1)
-    rows = rows.withColumn("start_line", start).withColumn("end_line", end)
-    cut = lambda c: F.slice(c, F.col("start_line") + 1, F.col("end_line") - F.col("start_line") + 1)
-    text = F.array_join(F.filter(F.transform(cut("lines"), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")), lambda x: x != ""), " ")
-    # keywords count on hit lines only
-    seen = F.filter("hits", lambda i: i.between(F.col("f.a"), F.col("f.b")))
-    said = F.array_join(F.transform(seen, lambda i: F.get("clean", i)), "\n")
-    rows = rows.select("doc_id", "start_line", "end_line", text.alias("passage_text"), said.alias("said")).where(F.length("passage_text") >= LEAST)
+    base = base.withColumn("told", F.transform("clean", lambda x: F.when(any_keyword(x, telling), x)))
+    base = base.withColumn("hits", F.filter(F.transform("told", lambda x, i: F.when(x.isNotNull(), i)), lambda i: i.isNotNull())).where(F.size("hits") > 0)
+    apart = BEFORE + AFTER + 1
+    begins = F.filter("hits", lambda x, i: (i == 0) | (x - F.get("hits", i - 1) > apart))
+    ends = F.filter("hits", lambda x, i: (i == F.size("hits") - 1) | (F.get("hits", i + 1) - x > apart))
+    base = base.withColumn("frames", F.arrays_zip(begins.alias("a"), ends.alias("b")))
+    strip = lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+
+    def passage(f: Column) -> Column:
+        start, end = F.greatest(f["a"] - BEFORE, F.lit(0)), F.least(f["b"] + AFTER, F.size("lines") - 1)
+        text = F.array_join(F.filter(F.transform(F.slice("lines", start + 1, end - start + 1), strip), lambda x: x != ""), " ")
+        said = F.array_compact(F.slice("told", f["a"] + 1, f["b"] - f["a"] + 1))  # keywords count on hit lines only
+        return F.struct(start.alias("start_line"), end.alias("end_line"), text.alias("passage_text"), said.alias("said"))
+
+    passages = F.filter(F.transform("frames", passage), lambda p: F.length(p["passage_text"]) >= LEAST)
+    rows = base.select("doc_id", F.posexplode(passages).alias("passage_index", "p")).select("doc_id", "passage_index", "p.*")
     own = {w: [w] for w in words.triggers}
-    numbered = rows.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start_line", "end_line", "passage_text", "said"))).alias("all"))
-    out = numbered.select("doc_id", F.posexplode("all").alias("passage_index", "p")).select("doc_id", "passage_index", "p.*")
-    return out.select("doc_id", "passage_index", "start_line", "end_line", "passage_text", *(matching_keys(F.col("said"), g).alias(n) for n, g in (("trades", words.trades), ("stages", words.stages), ("triggers", own))))
+    joined = F.array_join("said", "\n")
+    keys = [matching_keys(joined, g).alias(n) for n, g in (("trades", words.trades), ("stages", words.stages), ("triggers", own))]
+    keywords = first_seen_keywords(F.col("said"), words.trades | {"": words.triggers}).alias("keywords")
+    return rows.select("doc_id", "passage_index", "start_line", "end_line", "passage_text", *keys, keywords)
+
+
+def scan_counters(passages: DataFrame, documents: DataFrame) -> DataFrame:
+    """(kind, key, documents, pct, chars): documents with hits in all, by trade and by stage, their share of all documents, and characters of their passages."""
+    whole = documents.agg(F.count("*").alias("whole"))
+    kinds = lambda c: F.transform(c, lambda k: F.struct(F.lit(c).alias("kind"), k.alias("key"))).alias(c)
+    told = passages.select("doc_id", F.length("passage_text").alias("n"), F.array(F.struct(F.lit("all").alias("kind"), F.lit("").alias("key"))).alias("every"), kinds("trades"), kinds("stages"))
+    each = told.select("doc_id", "n", F.explode(F.concat("every", "trades", "stages")).alias("x")).groupBy("x", "doc_id").agg(F.sum("n").alias("n"))
+    rows = each.groupBy("x").agg(F.count("*").alias("documents"), F.sum("n").alias("chars")).crossJoin(F.broadcast(whole))  # one row
+    return rows.select("x.kind", "x.key", "documents", F.round(100.0 * F.try_divide(F.col("documents").cast("double"), F.col("whole")), 1).alias("pct"), "chars")
 
 
 def blank_passages(documents: DataFrame, words: Vocabulary, separator: str = r"\n\s*\n") -> DataFrame:

@@ -5,22 +5,60 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civicgrain.functions.text import normalize_host
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``, else the one given to the context.
+
+    Where neither is set, a run on one machine makes a temporary one; a cluster is told to set it.
+    """
+    context = spark.sparkContext
+    given = context._jsc.sc().getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or (given.get() if given.isDefined() else None)
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tables-")
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
 def written(frame: DataFrame) -> DataFrame:
-    """The frame as a table in the folder named by ``spark.checkpoint.dir`` (a temporary one only where it is unset)."""
+    """The frame as a table in the shared folder: a lost executor loses no part of it.
+
+    Unlike a checkpoint of rows, a table is compressed, read by column, and has a size the
+    planner knows. It goes when the application ends.
+    """
     spark = frame.sparkSession
-    given = spark.sparkContext._jsc.sc().getCheckpointDir()
-    folder = spark.conf.get("spark.checkpoint.dir", None) or (given.get() if given.isDefined() else tempfile.mkdtemp(prefix="tables-"))
-    path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     frame.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def numbered(frame: DataFrame, order: list[Column], name: str = "place") -> DataFrame:
+    """The rows with their place from 1 in a total order, without sorting in one task.
+
+    Rows are cut into ranges of the order and sorted in each; a place is the number of rows
+    in earlier ranges plus that inside. The order should end in something unique, so that no
+    range is forced to hold a long tie.
+    """
+    keys = [f"_o{i}" for i in range(len(order))]
+    sortable = frame.select("*", *(o.alias(k) for o, k in zip(order, keys)))
+    parts = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = written(sortable.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id()).drop(*keys))
+    part = F.shiftright("_id", 33)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    starts = ranges.groupBy(part.alias("_part")).agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    rows = ranges.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    return rows.select(*frame.columns, (F.col("_start") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias(name))
+
+
 def latest_rows(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row a key, the last in the order; combined before the shuffle, so a hot key costs a row a task."""
     rest = [c for c in rows.columns if c not in keys]
@@ -65,7 +103,7 @@ def dedupe_by_host(rows: DataFrame, compat: bool = False) -> DataFrame:
         F.min("body_id").alias("body_id"), F.min_by("name", "body_id").alias("name"), F.sum("enrollment").alias("enrollment"), F.count("*").alias("n"),
         F.array_sort(F.collect_list(F.struct("body_id", "name"))).alias("all"),
     )
-    others = F.array_join(F.transform(F.slice("all", 2, 1_000_000), lambda s: s["name"]), "; ")
+    others = F.array_join(F.transform(F.slice("all", F.lit(2), F.size("all")), lambda s: s["name"]), "; ")
     name = F.when(F.col("n") > 2, F.concat("name", F.lit(" (and "), (F.col("n") - 1).cast("string"), F.lit(" others)"))).otherwise(F.col("name"))
     merged = grouped.select("host", "body_id", name.alias("name"), F.col("enrollment").cast("long").alias("enrollment"), "n", F.when(F.col("n") > 1, F.concat(F.lit("Merged with: "), others)).alias("note"))
     if compat:

@@ -163,18 +163,11 @@ _RANK = "CASE stage " + " ".join(f"WHEN '{s}' THEN {i}" for s, i in (("1_problem
 @query(f"""SELECT signal_id, row_number() OVER (ORDER BY CASE WHEN in_window THEN 0 ELSE 1 END, {_RANK}, coalesce(dollar_amount, 0) DESC, signal_id) AS place, array_to_string(trades, ', ') AS trades
 FROM signals JOIN documents ON document_id = doc_id""")
 def ranked_signals(spark: SparkSession, folder: str) -> DataFrame:
-    """Places in the order of the report. Rows are sorted across partitions; a place is a partition's start plus the rank inside it."""
+    """Places in the order of the report. Ties of one amount, or of none, are broken by the id, so no task holds them all."""
     signals, documents = _t(spark, folder, "signals", "documents")
     rows = signals.join(documents.select(F.col("doc_id").alias("document_id"), "in_window"), "document_id")
-    order = [F.when(F.col("in_window"), 0).otherwise(1).alias("w"), F.expr(_RANK).alias("r"), F.coalesce("dollar_amount", F.lit(0)).alias("v")]
-    keyed = tables.written(rows.select("signal_id", F.array_join("trades", ", ").alias("trades"), *order))
-    block = keyed.groupBy("w", "r").agg(F.count("*").alias("n"))
-    base = block.withColumn("base", tables.running_before(F.col("n"), [F.col("w"), F.col("r")], [])).select("w", "r", "base")
-    # inside a block amounts are cut into ranges by counting distinct amounts first
-    amount = keyed.groupBy("w", "r", "v").agg(F.count("*").alias("n"))
-    within = amount.withColumn("above", tables.running_before(F.col("n"), [F.desc("v")], ["w", "r"])).select("w", "r", "v", "above")
-    tie = F.row_number().over(Window.partitionBy("w", "r", "v").orderBy("signal_id"))
-    return keyed.withColumn("tie", tie).join(base, ["w", "r"]).join(within, ["w", "r", "v"]).select("signal_id", (F.col("base") + F.col("above") + F.col("tie")).alias("place"), "trades")
+    order = [F.when(F.col("in_window"), 0).otherwise(1), F.expr(_RANK), -F.coalesce("dollar_amount", F.lit(0)), F.col("signal_id")]
+    return tables.numbered(rows.select("signal_id", "stage", "in_window", "dollar_amount", F.array_join("trades", ", ").alias("trades")), order).select("signal_id", "place", "trades")
 
 
 @query("""WITH d AS (SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS delta FROM events GROUP BY 1, 2)
@@ -213,7 +206,7 @@ def latest_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""SELECT body_id, CAST(meeting_date AS VARCHAR) AS meeting_date, meeting_type FROM (SELECT * FROM (SELECT DISTINCT body_id, meeting_date, 'regular' AS meeting_type FROM documents WHERE body_id IS NOT NULL AND meeting_date IS NOT NULL)
 EXCEPT SELECT body_id, meeting_date, coalesce(meeting_type, 'regular') FROM meeting_calendar)""")
-def insert_absent_meetings(spark: SparkSession, folder: str) -> DataFrame:
+def calendar_additions(spark: SparkSession, folder: str) -> DataFrame:
     documents, calendar = _t(spark, folder, "documents", "meeting_calendar")
     new = documents.where("body_id is not null and meeting_date is not null").select("body_id", "meeting_date", F.lit("regular").alias("meeting_type"))
     old = calendar.select("body_id", "meeting_date", F.coalesce("meeting_type", F.lit("regular")).alias("meeting_type"))
@@ -281,7 +274,7 @@ def json_props(spark: SparkSession, folder: str) -> DataFrame:
     return rows.where("k >= 50")
 
 
-@query("""SELECT doc_id, coalesce(try_cast(nullif(regexp_extract(source_url, '[/_-]?(20[0-9]{2}|19[0-9]{2})[/_.-]', 1), '') AS INTEGER), try_cast(nullif(regexp_extract(source_url, '(?i)(20[0-9]{2}|19[0-9]{2})\\.pdf', 1), '') AS INTEGER)) AS year FROM documents""".replace("\\\\", "\\"))
+@query("""SELECT doc_id, coalesce(try_cast(nullif(regexp_extract(source_url, '((?:19|20)[0-9]{2})[-./_]', 1), '') AS INTEGER), try_cast(nullif(regexp_extract(source_url, '((?:19|20)[0-9]{2})[.](?i:pdf)', 1), '') AS INTEGER)) AS year FROM documents""".replace("\\\\", "\\"))
 def url_years(spark: SparkSession, folder: str) -> DataFrame:
     return _t(spark, folder, "documents").select("doc_id", text.url_year(F.col("source_url")).alias("year"))
 
@@ -321,7 +314,7 @@ def gap_check(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""SELECT doc_id, m.meeting_id FROM documents d LEFT JOIN (SELECT body_id, meeting_date, min(meeting_id) AS meeting_id FROM meeting_calendar GROUP BY 1, 2) m USING (body_id, meeting_date) WHERE meeting_date IS NOT NULL""")
-def link_meetings(spark: SparkSession, folder: str) -> DataFrame:
+def calendar_links(spark: SparkSession, folder: str) -> DataFrame:
     documents, calendar = _t(spark, folder, "documents", "meeting_calendar")
     first = calendar.groupBy("body_id", "meeting_date").agg(F.min("meeting_id").alias("meeting_id"))
     return documents.where("meeting_date is not null").select("doc_id", "body_id", "meeting_date").join(first, ["body_id", "meeting_date"], "left").select("doc_id", "meeting_id")
@@ -375,8 +368,8 @@ def project_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return projects.project_members(*_t(spark, folder, "signals", "documents"))
 
 
-@query(_CLUSTERS + """ SELECT project_id, arg_min(building, signal_id) FILTER (WHERE coalesce(building, '') <> '') AS building, CAST(min(meeting_date) AS VARCHAR) AS first_signal_date, CAST(max(meeting_date) AS VARCHAR) AS last_signal_date, count(*) AS signal_count
-FROM mem JOIN (SELECT signal_id, building, document_id FROM signals) USING (signal_id) LEFT JOIN documents ON document_id = doc_id GROUP BY project_id""")
+@query(_CLUSTERS + """ SELECT project_id, min(body_id) AS body_id, arg_min(building, signal_id) FILTER (WHERE coalesce(building, '') <> '') AS building, arg_min_null(scope_summary, signal_id) AS scope_summary, CAST(min(meeting_date) AS VARCHAR) AS first_signal_date, CAST(max(meeting_date) AS VARCHAR) AS last_signal_date, arg_max_null(stage, (coalesce(list_position(["""+ ", ".join(f"'{s}'" for s in text.STAGES) + """], stage), 0), -signal_id)) AS latest_stage, count(*) AS signal_count
+FROM mem JOIN (SELECT signal_id, building, document_id, stage, scope_summary FROM signals) USING (signal_id) LEFT JOIN documents ON document_id = doc_id GROUP BY project_id""")
 def project_rollup(spark: SparkSession, folder: str) -> DataFrame:
     signals, documents = _t(spark, folder, "signals", "documents")
-    return projects.project_rollup(projects.project_members(signals, documents), signals, documents).drop("latest_stage").withColumn("first_signal_date", F.col("first_signal_date").cast("string")).withColumn("last_signal_date", F.col("last_signal_date").cast("string"))
+    return projects.project_rollup(projects.project_members(signals, documents), signals, documents).withColumn("first_signal_date", F.col("first_signal_date").cast("string")).withColumn("last_signal_date", F.col("last_signal_date").cast("string"))

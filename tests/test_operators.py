@@ -59,7 +59,9 @@ def test_meeting_date_compat(spark):
 
 
 def test_text_date_and_window(spark):
-    assert one(spark, dates.text_date(F.col("a")), a="held on 4 July 2025 here") == datetime.date(2025, 7, 4)
+    for stated, want in (("held on 4 July 2025 here", (2025, 7, 4)), ("Jan 5, 2026", (2026, 1, 5)), ("on SEPT 9 2024 and Jan 5, 2026", (2024, 9, 9)), ("Feb 30, 2024 then 3/4/2024", (2024, 3, 4)), ("x 2024-02-29", (2024, 2, 29))):
+        assert one(spark, dates.text_date(F.col("a")), a=stated) == datetime.date(*want)
+    assert one(spark, dates.text_date(F.col("a")), a="x" * 3000 + " Jan 5, 2026") is None
     assert one(spark, dates.in_window(F.col("a").cast("date"), "2024-02-29"), a="2023-02-28") is True
 
 
@@ -79,14 +81,54 @@ def test_small_functions(spark):
 
 
 def test_chunks_and_classification(spark):
-    assert classify.pack("a" * 10, 5, r"\n\n") == ["a" * 10]
-    assert classify.pack("aaaa\n\nbbb\n\n" + "c" * 20, 9, r"\n\n") == ["aaaa\n\nbbb", "c" * 20]
+    assert one(spark, classify.packed(F.col("a"), 5, r"\n\n"), a="a" * 10) == ["a" * 10]
+    assert one(spark, classify.packed(F.col("a"), 9, r"\n\n"), a="aaaa\n\nbbb\n\n" + "c" * 20) == ["aaaa\n\nbbb", "c" * 20]
+    assert one(spark, classify.packed(F.col("a"), 5, r"\n\n"), a="ab\n\n \n\n c \n\nd") == ["ab\n\nc", "d"]
     docs = spark.createDataFrame([(1, "bids were opened today", "ocr"), (2, None, "ocr")], "doc_id long, text string, text_method string")
     answer = '[{"stage":"5_bid","stage_evidence":"bids were opened","dollar_amount":"$5","trades":["x"]},{"is_signal":false}]'
     (row,) = classify.classify(docs, lambda chunk: answer).collect()
     assert row.stage_verified and row.amount_from_ocr and row.is_signal and str(row.dollar_amount) == "5.00"
 
 
+def test_retry_takes_the_place_of_what_was_misquoted(spark):
+    docs = spark.createDataFrame([(1, "bids were opened today for the roof", "text")], "doc_id long, text string, text_method string")
+    first = '[{"scope_summary":"roof","evidence_quote":"bids were never opened","stage":"5_bid","stage_evidence":"bids were opened"},{"scope_summary":"pool","evidence_quote":"not there"}]'
+    second = '[{"scope_summary":"roof","evidence_quote":"bids were opened","stage":"5_bid","stage_evidence":"opened today"}]'
+    rows = {r.scope_summary: r for r in classify.classify(docs, lambda chunk: first, retry=lambda chunk: second).collect()}
+    assert rows["roof"].quote_verified and rows["roof"].stage_evidence == "opened today" and not rows["pool"].quote_verified and len(rows) == 2
+    assert classify.classify(docs.limit(0), lambda chunk: first, retry=lambda chunk: second).count() == 0
+
+
+def test_places_across_ranges(spark):
+    rows = spark.range(500).select("id", (F.col("id") % 3).alias("v"))  # a third of all rows tie
+    got = {r.id: r.place for r in tables.numbered(rows, [-F.col("v"), F.col("id")]).collect()}
+    want = sorted(range(500), key=lambda i: (-(i % 3), i))
+    assert [got[i] for i in want] == list(range(1, 501)) and tables.numbered(rows.limit(0), [F.col("id")]).count() == 0
+
+
+def test_keywords_as_first_seen(spark):
+    words = scan.Vocabulary(trades={"a": ["roof", "boiler"], "b": ["boiler", "lintel"]}, triggers=["change order"])
+    (row,) = scan.keyword_passages(spark.createDataFrame([(1, "a lintel and a boiler\nchange orders for the roof\nboiler")], "doc_id long, text string"), words).collect()
+    assert row.keywords == ["boiler", "lintel", "roof", "change order"] and row.trades == ["a", "b"]
+    counters = {(r.kind, r.key): (r.documents, r.pct) for r in scan.scan_counters(scan.keyword_passages(spark.createDataFrame([(1, "the roof leaks and is to be replaced"), (2, "x")], "doc_id long, text string"), words), spark.range(4)).collect()}
+    assert counters == {("all", ""): (1, 25.0), ("trades", "a"): (1, 25.0)}
+
+
+def test_similar_scopes_against_brute_force(spark):
+    """The rarer words alone find all pairs, with a third of the sets sharing one common word."""
+    from civicgrain.operators import projects
+
+    rng = random.Random(5)
+    sets = {i: sorted({rng.choice("abcdefghijklmnopqrst") * 4 for _ in range(rng.randint(1, 7))} | ({"common"} if i % 3 == 0 else set())) for i in range(120)}
+    rows = spark.createDataFrame([(i, "b", "p", "t", w) for i, w in sets.items()], "signal_id int, body_id string, place string, trade string, words array<string>")
+    first = {}
+    for i, w in sets.items():
+        first.setdefault(tuple(w), i)
+    ids = sorted(first.values())
+    want = {(i, j, len(set(sets[i]) & set(sets[j]))) for j in ids for i in ids if i < j and (len(set(sets[i]) & set(sets[j])) >= 3 or len(set(sets[i]) & set(sets[j])) >= 0.4 * len(set(sets[i]) | set(sets[j])))}
+    assert {tuple(r) for r in projects.similar_scopes(rows).collect()} == want
+
+
 def test_tables(spark):
     old = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     new = spark.createDataFrame([("b", 3, 1), ("b", 4, 2), ("c", 5, 1)], "k string, v int, o int")
