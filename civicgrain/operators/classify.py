@@ -113,6 +113,20 @@ def within_budget(runs: DataFrame, prices: dict[str, tuple[float, float]], cap:
     return spent.where(F.col("spent_before") < cap).select("day", "run_id", F.round("spent_before", 6).alias("spent_before"))
 
 
+def running_prefix(rows: DataFrame, spent: DataFrame, cap: float) -> DataFrame:
+    """The rows (doc_id, cost, ...) in order of id up to the one that crosses the cap, ``spent`` (one row, spent) counted in.
+
+    Costs are summed by stretches of ids first, so no task holds them all.
+    """
+    past, stretch = Window.unboundedPreceding, F.floor(F.col("doc_id") / 10_000)
+    rows = rows.withColumn("_part", stretch)
+    parts = rows.groupBy("_part").agg(F.sum("cost").alias("_held"))
+    before = parts.select("_part", F.coalesce(F.sum("_held").over(Window.orderBy("_part").rowsBetween(past, -1)), F.lit(0.0)).alias("_before"))  # a row a stretch
+    inside = F.coalesce(F.sum("cost").over(Window.partitionBy("_part").orderBy("doc_id").rowsBetween(past, -1)), F.lit(0.0))
+    placed = rows.withColumn("_inside", inside).join(before, "_part").crossJoin(F.broadcast(spent))  # one row
+    return placed.where(F.col("spent") + F.col("_before") + F.col("_inside") < cap).drop("_part", "_inside", "_before", "spent")
+
+
 def cost_summary(runs: DataFrame, prices: dict[str, tuple[float, float]], cap: float) -> DataFrame:
     """(day, runs, spent, cap, reached, remaining) of each day, models summed."""
     days = runs.where("created_at is not null").groupBy(F.to_date("created_at").alias("day")).agg(F.count("*").alias("runs"), F.sum(run_cost(prices)).alias("cost"))

@@ -289,11 +289,6 @@ def meeting_date_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("o_orderkey", dates.meeting_date(F.concat(F.lit("Minutes "), shown), F.lit("")).cast("string").alias("found"))
 
 
-@query()
-def link_text_dates(spark: SparkSession, folder: str) -> DataFrame:
-    return _t(spark, folder, "documents").select("doc_id", dates.meeting_date(F.col("link_text"), F.col("source_url"), F.year("meeting_date")).alias("found"))
-
-
 @query(f"SELECT doc_id, meeting_date >= (DATE '{AS_OF}' - INTERVAL 1 YEAR) AS inside FROM documents")
 def in_window_flags(spark: SparkSession, folder: str) -> DataFrame:
     return _t(spark, folder, "documents").select("doc_id", dates.in_window(F.col("meeting_date"), AS_OF).alias("inside"))
@@ -330,19 +325,6 @@ def union_dedupe_first(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("h").agg(F.min(F.struct("part", "doc_id")).alias("r")).select("r.doc_id", "r.part")
 
 
-@query()
-def chunk_pack(spark: SparkSession, folder: str) -> DataFrame:
-    rows = classify.chunks(texts(spark, folder), 2000)
-    return rows.select("doc_id", "chunk_index", F.length("chunk").alias("size"))
-
-
-@query()
-def evidence_checked(spark: SparkSession, folder: str) -> DataFrame:
-    signals, documents = _t(spark, folder, "signals", "documents")
-    rows = signals.select("signal_id", "document_id", "evidence_quote").join(documents.select(F.col("doc_id").alias("document_id"), "text"), "document_id")
-    return rows.select("signal_id", text.evidence_found(F.col("evidence_quote"), F.col("text")).alias("found"))
-
-
 _STOP = "[" + ", ".join(f"'{w}'" for w in (*text.STOP_WORDS, *text.DOMAIN_STOP_WORDS)) + "]"
 _SCOPES = rf"""sc AS (SELECT s.signal_id, d.body_id, trim(regexp_replace(regexp_replace(lower(coalesce(building, '')), '[^a-z0-9\s]', '', 'g'), '\s+', ' ', 'g')) AS place, trades[1] AS trade,
 list_sort(list_distinct(list_filter(regexp_extract_all(lower(coalesce(scope_summary, '')), '[a-z]+'), lambda w: length(w) > 2 AND NOT list_contains({_STOP}, w)))) AS words FROM signals s JOIN documents d ON s.document_id = d.doc_id),

@@ -7,8 +7,9 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 _INTEGERS = ("coverage_level", "enrollment", "expected_per_year", "own_site_doc_links")
 _TIMES = ("last_checked", "last_success")
@@ -27,8 +28,24 @@ def read_bodies_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_texts(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, text) of every .txt of a folder."""
-    return spark.read.text(f"{folder.rstrip('/')}/*.txt", wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    """(path, name, text) of every .txt of a folder, in order of their names; bytes that are no UTF-8 become replacement characters."""
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder).select("path", "content")
+    return raw.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), _decoded("content").alias("text")).orderBy("name", "path")
+
+
+def _decoded(content: str) -> Column:
+    """Lenient decoding has no built-in that is safe from session settings; the bytes come in Arrow batches."""
+
+    @F.pandas_udf(StringType())
+    def decode(b: pd.Series) -> pd.Series:
+        return b.map(lambda x: bytes(x).decode("utf-8", "replace"))
+
+    return decode(content)
+
+
+def write_hits(passages: DataFrame, path: str) -> None:
+    """Passages as JSON lines, by document and number."""
+    passages.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "passage_index").write.mode("overwrite").json(path)
 
 
 def read_binary(spark: SparkSession, folder: str, extract: Callable[[bytes], tuple[str, int]]) -> DataFrame:
@@ -71,21 +88,23 @@ class _Anchors(HTMLParser):
             self.open = False
 
 
-def pdf_links(pages: DataFrame) -> DataFrame:
-    """(url, source_url, link_text) of every anchor to a .pdf; the text, else the title, else the file's name."""
+def pdf_links(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """(url, source_url, link_text, link_order) of every anchor to a .pdf, with the page's columns ``keep``; the text, else the title, else the file's name."""
+    kept = keep or []
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in pages.select(*kept).schema.fields) + "url string, source_url string, link_text string, link_order int"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for url, html in zip(batch.url, batch.html):
+            for url, html, *own in zip(batch.url, batch.html, *(batch[c] for c in kept)):
                 reader = _Anchors()
                 reader.feed(html or "")
-                for href, text, title in reader.links:
+                for k, (href, text, title) in enumerate(reader.links):
                     if href.lower().endswith(".pdf"):
-                        rows.append((url, urljoin(url, href), " ".join(text.split()) or title or href.rsplit("/", 1)[-1]))
-            yield pd.DataFrame(rows, columns=["url", "source_url", "link_text"])
+                        rows.append((*own, url, urljoin(url, href), " ".join(text.split()) or title or href.rsplit("/", 1)[-1], k))
+            yield pd.DataFrame(rows, columns=[*kept, "url", "source_url", "link_text", "link_order"])
 
-    return pages.select("url", "html").where("url is not null").mapInPandas(run, "url string, source_url string, link_text string")
+    return pages.select("url", "html", *kept).where("url is not null").mapInPandas(run, schema)
 
 
 def write_csv(frame: DataFrame, path: str) -> bool:
