@@ -285,6 +285,7 @@ class Model:
         self.clean: set[str] = set()  # tokens as they stand that need no closer look
         self._halves: set[str] | None = None
         self.joins: np.ndarray | None = None
+        self._joined: dict[tuple, bool] = {}
         self._learn([w for w in counts if len(w) > 1])
 
     def _learn(self, tokens: list[str]) -> None:
@@ -403,8 +404,10 @@ class Model:
         if right[0].isupper() and not left.isupper():
             return None
         soft = line.rstrip()[-1] not in "-‐"
-        features = np.array([self.join_features(left.lower(), right.lower(), soft, stem=m[1].lower())], np.float64)
-        return left + right if float((_crossed(features) @ self.joins)[0]) > 0 else None
+        seen = tuple(self.join_features(left.lower(), right.lower(), soft, stem=m[1].lower()))
+        if seen not in self._joined:  # features are yes or no, so there are few different ones
+            self._joined[seen] = float((_crossed(np.array([seen], np.float64)) @ self.joins)[0]) > 0
+        return left + right if self._joined[seen] else None
 
     def join_features(self, left: str, right: str, soft: bool, stem: str | None = None, hidden: bool = False) -> list[float]:
         whole = 0 if hidden else self.counts.get(left + right, 0)

@@ -2,26 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from civicgrain.operators.tables import written as saved
 
-from pyspark.sql import DataFrame
-
-
-def saved(frame: DataFrame) -> DataFrame:
-    """The frame as a table written to the checkpoint folder: a lost executor loses no part of it.
-
-    The folder is the session's ``spark.checkpoint.dir``, else the one given to the context.
-    Only where both are unset, as in local tests, a temporary one is made. Unlike a
-    checkpoint of rows, a table is compressed, read by column, and has a size the planner knows.
-    """
-    spark = frame.sparkSession
-    context = spark.sparkContext
-    given = context._jsc.sc().getCheckpointDir()
-    folder = spark.conf.get("spark.checkpoint.dir", None) or (given.get() if given.isDefined() else None)
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="checkpoint-")
-        context.setCheckpointDir(folder)
-    path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+__all__ = ["saved"]
