@@ -3,11 +3,14 @@
 One pass over the texts lists candidates: pieces whose form could be an e-mail address, a
 phone or identity number, a street address or a name, each with the words on both sides.
 Seeds are the pieces that are certain by themselves (a few very common given names, numbers
-labelled as social security numbers, phone numbers with a bracketed or country code). Seeds
+labelled as social security numbers, phone numbers with a bracketed or country code, mail and street addresses
+in full form). Seeds
 give their contexts confidence, confident contexts make new instances, and these new
 contexts, round by round over the graph of contexts and instances. A candidate counts if
-its form is unmistakable, its context confident or its instance known, unless a veto word
-shows it to be a place, building, street or firm.
+it is a seed, its context confident or its instance known; looser forms of mail and street addresses need
+confident contexts on both sides. A name that goes on in a capitalised word may be that of
+a building, body, street or firm: which words make it one is learned, too, from how often
+names before them stand in confident contexts.
 """
 
 from __future__ import annotations
@@ -24,12 +27,8 @@ from civicgrain.llm.storage import saved
 # The most common given names of the census, as seeds.
 SEED_GIVEN = "james robert john michael william david richard thomas mary patricia jennifer linda elizabeth susan margaret".split()
 _TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Sr|Sra|Srta|Hon|Rev|Trustee|Member|Councilman|Councilwoman|Councilmember|Commissioner"
-# Words after a name that make it a building, body, street or firm.
-_VETO_NEXT = (
-    "Elementary|Elem|Middle|High|School|Schools|Academy|Charter|Library|Firehouse|Fire|Town|Village|Bus|Garage|Hall|Administration|Admin|Building|Bldg|Gymnasium|Auditorium|Field|Park|"
-    "Union|Central|Free|District|Public|Water|Authority|Roofing|Plumbing|Paving|Masonry|Electrical|Mechanical|Engineers|Architects|Construction|Consultants|Environmental|Glazing|Contracting|"
-    "Inc|LLC|L\\.L\\.C|Corp|Corporation|Co|Company|Ltd|PC|P\\.C|Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Dr|Boulevard|Blvd|Place|Pl|Court|Ct|Committee|Foundation|Fund|Scholarship|Memorial|NY|&"
-)
+# Legal forms and signs after a name that make it a firm whatever the corpus.
+_FIRM = r"Inc|LLC|L\.L\.C|Corp|Corporation|Co|Company|Ltd|PC|P\.C|&"
 _STREETS = "Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Dr|Boulevard|Blvd|Place|Pl|Court|Ct|Terrace|Ter|Circle|Cir|Way|Highway|Hwy|Parkway|Pkwy|Turnpike|Tpke|Square|Sq|Path|Trail"
 # Postal codes of the states, and how the state of the documents is written out.
 _STATES = (
@@ -58,11 +57,15 @@ NAME = re.compile(
     "|(?P<s5>" + _SUR + ")," + _GAP + r"[A-Z]\.(?:\s?[A-Z]\.)?"
     r"|(?P<s4>" + _SUR + ")))(?![\\w@])"
 )
-_NEXT = re.compile(r"\s*(?:" + _VETO_NEXT + r")\b")
+_NEXT = re.compile(r"\s*(?:" + _FIRM + "|" + _STREETS + r")(?!\w)")
+_GOES_ON = re.compile(r"[^\S\n]*\n?[^\S\n]*([A-ZÀ-Þ][\w'’]*)")
+LOOSE_MAIL = re.compile(r"(?<![\w.+-])[\w+.-]+(?: ?@ ?| ?[\[(]at[\])] ?| at )[\w-]+(?:(?: ?\. ?| ?[\[(]dot[\])] ?| dot )[\w-]+)+", re.I)
+LOOSE_ADDRESS = re.compile(r"(?<![\w.$/#-])\d{1,5}[^\S\n]+[A-Z][\w'’]+(?:[^\S\n]+[A-Z][\w'’]+)?(?![\w'’])")
 _SIDE = re.compile(r"[^\W\d_]+[#.]?|\d+|[^\w\s]")
 _SEEDED = re.compile(r"(?:\(\d{3}\)|\+1)")
 _NOT_GIVEN = frozenset("the a an on in at by of for to and or with as is".split())
 _MOST_ROUNDS = 20  # the rounds end when nothing new is known; each adds instances, so they do end
+_LED = 0.3  # share of names before a word that stand in confident contexts, below which the word makes them something else
 _BROADCAST_ROWS = 300_000  # confident patterns and instances of 40 bytes or so; beyond it the joins shuffle
 
 
@@ -81,13 +84,16 @@ def _flat(piece: str) -> str:
     return " ".join(piece.split())
 
 
-def candidates_of(text: str) -> list[tuple[str, str, str, str, str, bool, int, int]]:
-    """(kind, found, left, right, instance, certain, start, end) of every piece of a text; pieces of different kinds don't overlap."""
+def candidates_of(text: str) -> list[tuple[str, str, str, str, str, bool, int, int, str]]:
+    """(kind, found, left, right, instance, certain, start, end, after) of every piece of a text; pieces of different kinds don't overlap.
+
+    ``after`` is the capitalised word a name goes on in, if there is one, with a newline before it if it stands in the next line.
+    """
     out, taken = [], []
 
     def add(kind: str, start: int, end: int, instance: str, certain: bool) -> None:
         taken.append((start, end))
-        out.append((kind, _flat(text[start:end]), *_around(text, start, end), instance, certain, start, end))
+        out.append((kind, _flat(text[start:end]), *_around(text, start, end), instance, certain, start, end, ""))
 
     at = text.find("@")
     while at >= 0:  # from sign to sign: trying every word for an address is slow
@@ -110,7 +116,18 @@ def candidates_of(text: str) -> list[tuple[str, str, str, str, str, bool, int, i
         if not any(a <= m.start() < b for a, b in taken):
             label = text[max(0, m.start() - 24) : m.start()].lower()
             add("id_number", *m.span(), m[0], "ssn" in label or "social security" in label)
+    if "@ " in text or " @" in text or " dot " in text or "(dot)" in text or "[dot]" in text:
+        for m in LOOSE_MAIL.finditer(text):
+            if not any(a < m.end() and m.start() < b for a, b in taken):
+                add("email", *m.span(), "?loose", False)
     busy = sorted(taken)
+    free = 0
+    for m in LOOSE_ADDRESS.finditer(text):
+        while free < len(busy) and busy[free][1] <= m.start():
+            free += 1
+        if free == len(busy) or busy[free][0] >= m.end():
+            left, right = _around(text, *m.span())
+            out.append(("address", _flat(m[0]), left, right, "?loose", False, *m.span(), ""))
     at, k = 0, 0
     while m := NAME.search(text, at):
         start, end = m.span("name")
@@ -136,17 +153,18 @@ def candidates_of(text: str) -> list[tuple[str, str, str, str, str, bool, int, i
             at = m.end("g1") if m["g1"] else end
             continue
         left, right = _around(text, m.start("title") if m["title"] else start, end)
-        out.append(("name", _flat(text[start:end]), left, right, given or "?" + ("title" if m["title"] else "initial"), bool(m["title"]), start, end))
+        on = _GOES_ON.match(text, end)
+        out.append(("name", _flat(text[start:end]), left, right, given or "?" + ("title" if m["title"] else "initial"), bool(m["title"]), start, end, (("\n" if "\n" in on[0] else "") + on[1].lower()) if on else ""))
         at = end if (m["title"] or not m["g1"]) else m.end("g1")  # overlapping readings are settled once names are known
     return out
 
 
 _TITLE_SET = frozenset(_TITLES.split("|"))
-_SCHEMA = "doc_id long, kind string, found string, left string, right string, instance string, certain boolean, start int, end int"
+_SCHEMA = "doc_id long, kind string, found string, left string, right string, instance string, certain boolean, start int, end int, after string"
 
 
 def _candidates(documents: DataFrame) -> DataFrame:
-    types = (pa.int64(), *[pa.string()] * 5, pa.bool_(), pa.int32(), pa.int32())
+    types = (pa.int64(), *[pa.string()] * 5, pa.bool_(), pa.int32(), pa.int32(), pa.string())
     names = [c.split()[0] for c in _SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +172,7 @@ def _candidates(documents: DataFrame) -> DataFrame:
             rows = []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 rows += [(i, *c) for c in candidates_of(text)]
-            columns = list(zip(*rows)) if rows else [[]] * 9
+            columns = list(zip(*rows)) if rows else [[]] * 10
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     return documents.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null").mapInArrow(run, _SCHEMA)
@@ -162,7 +180,7 @@ def _candidates(documents: DataFrame) -> DataFrame:
 
 def _bootstrap(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(kind, pattern) and (kind, instance) that rounds over the graph make confident, until a round adds nothing."""
-    open_ = candidates.where("kind in ('phone', 'id_number', 'name')")
+    open_ = candidates.where("after = ''")  # what may go on teaches nothing
     sides = F.explode(F.array(F.concat(F.lit("L "), "left"), F.concat(F.lit("R "), "right")))
     told = open_.select("kind", sides.alias("pattern"), "instance", "certain").where("kind <> 'name' or (pattern not like 'L %.' and substring(pattern, 3) rlike '[^0-9 ,.;:-]')")  # anything may begin a sentence
     edges = saved(told.groupBy("kind", "pattern", "instance").agg(F.count("*").alias("n"), F.max("certain").alias("certain")))
@@ -199,10 +217,15 @@ def find_personal_information(documents: DataFrame) -> DataFrame:
     left = sure.where("pattern like 'L %'").select("kind", F.expr("substring(pattern, 3)").alias("left"), F.lit(True).alias("left_sure"))
     right = sure.where("pattern like 'R %'").select("kind", F.expr("substring(pattern, 3)").alias("right"), F.lit(True).alias("right_sure"))
     known = saved(known.withColumn("known", F.lit(True)))
-    rows = candidates.join(_bounded(left), ["kind", "left"], "left").join(_bounded(right), ["kind", "right"], "left").join(_bounded(known), ["kind", "instance"], "left")
+    # what goes on in a word that names in confident contexts hardly ever go on in isn't a person's name
+    led = candidates.where("kind = 'name' and after <> '' and after not like '\n%'").join(_bounded(left), ["kind", "left"], "left")
+    sign = led.groupBy("after").agg(F.count("*").alias("n"), F.count_if("left_sure").alias("good")).where(F.col("good") < _LED * F.col("n"))
+    sign = saved(sign.select(F.lit("name").alias("kind"), F.explode(F.array("after", F.concat(F.lit("\n"), "after"))).alias("after"), F.lit(True).alias("part_of")))
+    rows = candidates.join(_bounded(left), ["kind", "left"], "left").join(_bounded(right), ["kind", "right"], "left").join(_bounded(known), ["kind", "instance"], "left").join(_bounded(sign), ["kind", "after"], "left")
     flag = lambda c: F.coalesce(F.col(c), F.lit(False))
     name = F.col("kind") == "name"
-    ok = F.when(F.col("kind").isin("email", "address"), F.lit(True))
+    ok = F.when(F.col("kind").isin("email", "address"), F.col("certain") | flag("left_sure") & flag("right_sure"))
+    ok = ok.when(name & flag("part_of"), F.lit(False))
     ok = ok.when(name & F.col("instance").startswith("?"), F.col("certain") | flag("left_sure") | flag("right_sure"))
     ok = ok.when(name, flag("known") | F.col("certain")).otherwise(F.col("certain") | (flag("left_sure") | flag("right_sure")) & flag("known"))
     good = rows.where(ok)

@@ -325,6 +325,23 @@ def test_mail_of_any_length_and_other_states(spark):
     assert (1, "email", "a" * 300 + "@" + "b" * 200 + ".example") in found and (2, "address", "12 Oak St, Dover, NJ 07801") in found and (2, "address", "4 Elm Avenue") in found
 
 
+def test_words_that_make_a_name_something_else_are_learned(spark):
+    """No list holds the word after the name: names before it never stand in confident contexts."""
+    given = "James Robert Mary Linda Susan David".split()
+    rng = random.Random(9)
+    body = "Motion by %s Brenwick, seconded by %s Talrow, to accept it. The drawings for %s Ruddale Zoological Pavilion are on file. Moved by %s Vennar Zoological."
+    rows = [(i, body % tuple(rng.choice(given) for _ in range(4))) for i in range(60)]
+    names = {r.found for r in personal_information.find_personal_information(frame(spark, rows)).collect()}
+    assert any("Brenwick" in n for n in names) and any("Talrow" in n for n in names) and not any("Ruddale" in n for n in names)
+
+
+def test_loose_forms_need_confident_contexts(spark):
+    rows = [(i, f"The clerk, residing at {i + 1} Oak Street, was present. Write to the clerk at box{i}@mail.example for a copy.") for i in range(40)]
+    rows += [(100, "The clerk, residing at 7 Broadmoor, was present. Room 7 Broadmoor is closed."), (101, "Write to the clerk at office (at) mail (dot) example for a copy. Meet at noon dot com.")]
+    found = [(r.doc_id, r.pii_kind, r.found) for r in personal_information.find_personal_information(frame(spark, rows)).where("doc_id >= 100").collect()]
+    assert found.count((100, "address", "7 Broadmoor")) == 1 and (101, "email", "office (at) mail (dot) example") in found and len(found) == 2
+
+
 def noisy(rng, word):
     i = rng.randrange(1, len(word) - 1)
     return rng.choice([word[:i] + "|" + word[i:], " ".join(word), word.replace("e", "c", 1) if "e" in word else word[:i] + "~" + word[i:]])
