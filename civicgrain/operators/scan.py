@@ -71,7 +71,7 @@ def keyword_passages(documents: DataFrame, words: Vocabulary) -> DataFrame:
     base = documents.where("text is not null").select("doc_id", lines.alias("lines"), F.transform(lines, words.clean).alias("clean"))
     telling = words.telling()
     base = base.withColumn("told", F.transform("clean", lambda x: F.when(any_keyword(x, telling), x)))
-    base = base.withColumn("hits", F.filter(F.transform("told", lambda x, i: F.when(x.isNotNull(), i)), lambda i: i.isNotNull())).where(F.size("hits") > 0)
+    base = base.withColumn("hits", F.filter(F.transform("told", lambda x, i: F.when(x.isNotNull(), i)), lambda i: i.isNotNull()))
     apart = BEFORE + AFTER + 1
     begins = F.filter("hits", lambda x, i: (i == 0) | (x - F.get("hits", i - 1) > apart))
     ends = F.filter("hits", lambda x, i: (i == F.size("hits") - 1) | (F.get("hits", i + 1) - x > apart))
