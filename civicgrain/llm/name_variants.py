@@ -46,7 +46,8 @@ NICKNAMES = {
 }
 _SHORT = {s: full for full, short in NICKNAMES.items() for s in short.split()}
 _TRADE_OF = {form: t for t, forms in TRADES.items() for form in (t, *forms)}
-_DELETES = "concat(array(token), transform(sequence(1, length(token)), i -> concat(substring(token, 1, i - 1), substring(token, i + 1))))"
+# hashes of a name and of what is left without each of its letters, equal ones once; pairs that meet are compared letter by letter
+_DELETES = "array_distinct(concat(array(xxhash64(token)), transform(sequence(1, length(token)), i -> xxhash64(concat(substring(token, 1, i - 1), substring(token, i + 1))))))"
 _SWAP = "length(a.token) = length(b.token) and levenshtein(a.token, b.token) = 2 and array_sort(split(a.token, '')) = array_sort(split(b.token, ''))"
 _NEAR = f"(levenshtein(a.token, b.token) <= 1 or ({_SWAP}))"
 # a name cut short keeps its beginning, or its first and last letter with some of those between

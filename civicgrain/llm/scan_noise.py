@@ -251,11 +251,9 @@ def _train_joins(model: Model, words: list[str], rounds: int = 6, seed: int = 7)
         left, _, right = compound.rpartition("-")
         rows.append(model.join_features(left.split("-")[-1], right, False, stem=left))
         labels.append(-1.0)
-    x = np.array(rows, np.float64).reshape(len(rows), -1)
-    if not len(x):
-        x, labels = np.zeros((1, _JOIN_FEATURES)), [1.0]
-        x[0, 0] = 1
-    x, y = _crossed(x), np.array(labels)
+    if not rows:  # nothing to learn from: join
+        rows, labels = [[1.0] + [0.0] * (_JOIN_FEATURES - 1)], [1.0]
+    x, y = _crossed(np.array(rows, np.float64)), np.array(labels)
     weights, total, step = np.zeros(x.shape[1]), np.zeros(x.shape[1]), 0
     for _ in range(rounds):
         for i in random.permutation(len(y)):

@@ -100,7 +100,7 @@ def test_near_duplicates_of_revised_templates(spark, revisions, copies):
 
 def test_long_lists_are_split(spark, monkeypatch):
     """A list of a third of all texts is paired block by block, and gives the pairs it gives in one piece."""
-    lists = [np.array([7, 7, i], np.uint64) for i in range(60)] + [np.array([1000 + i], np.uint64) for i in range(120)]
+    lists = [np.array([7, 8, i + 100], np.uint64) for i in range(60)] + [np.array([1000 + i], np.uint64) for i in range(120)]
     rows = spark.createDataFrame([(i, 10, bytearray(x.tobytes())) for i, x in enumerate(lists)], "doc_id long, n int, listed binary")
     postings = near_duplicates._postings(rows.selectExpr("doc_id", "n", "unhex(repeat(hex(listed), if(doc_id < 60, 10, 1))) as listed"))  # counts of 1,200, so five blocks
     assert postings.groupBy("list").count().agg(F.max("count")).first()[0] < 900 and postings.where("side = 1").count() > 0
@@ -543,3 +543,67 @@ def test_confidence_is_calibrated(spark):
     right_ones = [(r.body_id, r.unit_id) in same for r in got]
     assert sum(right_ones) >= 0.95 * len(got) and sum(right_ones) >= 0.9 * len(same)
     assert abs(sum(r.confidence for r in got) - sum(right_ones)) < 0.08 * len(got)
+
+
+CLASHING = "class_key n sketch next counter list side a b value kind found left right instance certain start end after spans out slice digest key tokens copies noise item_id distance line_no line docs slack word pieces h c chunk keys known part_of x y".split()
+
+
+def awkward(spark, rows):
+    """Rows (doc_id, text, body_id, source) with nulls, an empty text, a very long one and repeated rows, among columns with names operators use."""
+    long = " ".join(f"w{i % 5000} alpha{i}" for i in range(60_000))
+    rows = rows + [(None, None, None, None), (901, None, "b", "s"), (902, "", "b", "s"), (903, long, "b", "s"), (903, long, "b", "s"), (None, "text without an id", "b", None)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, body_id string, source string")
+    return made.select("*", *(F.lit("clash").alias(c) for c in CLASHING))
+
+
+def operators(spark):
+    items = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven twelve"), (None, None), (2, "")], "item_id int, text string")
+    targets = spark.createDataFrame([("s", 1.0, 2), (None, None, None), ("none", 0.5, 1)], "source string, target_share double, max_repeats int")
+    return {
+        "near duplicates": lambda d: near_duplicates.near_duplicate_pairs(d, 3, 0.7),
+        "repeated lines": repeated_lines.recurring_lines,
+        "lines removed": repeated_lines.without_recurring_lines,
+        "leaks": lambda d: leaks.find_leaks(d, items),
+        "mix": lambda d: mixing.mix_sources(d, targets, mixing.tokenizer())[0],
+        "report": lambda d: mixing.mix_sources(d, targets, mixing.tokenizer())[1],
+        "noise": scan_noise.read_pages,
+        "personal information": personal_information.find_personal_information,
+        "redacted": personal_information.redact,
+    }
+
+
+@pytest.mark.parametrize("name", ["near duplicates", "repeated lines", "lines removed", "leaks", "mix", "report", "noise", "personal information", "redacted"])
+def test_awkward_and_empty_documents(spark, name):
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(1, text, "b", "s"), (2, text + " thirteen", None, "s"), (3, text, "b", None)]
+    run = operators(spark)[name]
+    got = [tuple(r) for r in run(awkward(spark, rows)).collect()]
+    want = {
+        "near duplicates": {(1, 2), (1, 3), (2, 3)}, "repeated lines": set(), "leaks": {(i, 1, 0, 12) for i in (1, 2, 3)}, "personal information": set(),
+    }
+    if name in want:
+        assert set(got) == want[name]
+    if name in ("lines removed", "redacted"):
+        assert len(got) == 9 and (1, text) in got and (901, None) in got and (902, "") in got  # every row stays
+    if name == "noise":
+        assert sorted(r[0] for r in got) == [1, 2, 3, 902, 903, 903]
+    if name == "mix":
+        assert {r[0] for r in got} == {1, 2, 903} and len(got) == 3  # copies and rows without id, text or source are left out
+    if name == "report":
+        assert {r[0] for r in got} == {"s", "none"}
+    empty = run(awkward(spark, rows).limit(0))
+    assert empty.count() == (2 if name == "report" else 0)
+
+
+def test_awkward_and_empty_records(spark):
+    clash = [F.lit("clash").alias(c) for c in ("x", "y", "typed", "odds", "confidence", "holders", "own_host", "canon", "entity", "group_id", "id", "a", "b", "n")]
+    signals = spark.createDataFrame([(None, None, None, None), (1, 7, "[]", ""), (2, 7, None, None), (3, 7, '["A. B."]', "X" * 5000), (3, 7, '["A. B."]', "X" * 5000)], "signal_id int, document_id int, vendors_named string, building string").select("*", *clash)
+    documents = spark.createDataFrame([(7, "b1"), (None, None), (8, None)], "doc_id long, body_id string").select("*", *clash)
+    assert name_variants.spelling_pairs(signals, documents).count() == 0 and name_variants.spelling_pairs(signals, documents.limit(0)).count() == 0
+    matches = spark.createDataFrame([(None, None, None, None, None), (1, 1, 2, 0.9, None), (1, 1, 2, 0.9, None), (2, 3, 1, 0.5, "2024-01-01")], "match_id int, left_id int, right_id int, score double, matched_at string").select("*", *clash)
+    assert {tuple(r) for r in components.group_records(matches, signals).collect()} == {(1, 1), (2, 1), (3, 1)}
+    assert components.group_records(matches, signals.limit(0)).count() == 0
+    bodies = spark.createDataFrame([(None, None, None, None), ("b", "", "", ""), ("c", "X" * 3000 + " Fire District", None, None), ("d", "Elm Fire District", None, "h.example"), ("d", "Elm Fire District", None, "h.example")], "body_id string, name string, county string, website string").select("*", *clash)
+    units = spark.createDataFrame([(None, None, None, None), (1, "", None, ""), (2, "Elm FD", None, None), (2, "Elm FD", None, None)], "unit_id int, unit_name string, area string, homepage string").select("*", *clash)
+    assert {(r.body_id, r.unit_id) for r in entity_match.match_bodies(bodies, units).collect()} == {("d", 2)}
+    assert entity_match.match_bodies(bodies, units.limit(0)).count() == 0
