@@ -57,10 +57,12 @@ NAME = re.compile(
     "|(?P<s5>" + _SUR + ")," + _GAP + r"[A-Z]\.(?:\s?[A-Z]\.)?"
     r"|(?P<s4>" + _SUR + ")))(?![\\w@])"
 )
+_STREET = re.compile(r"\b(?:" + _STREETS + r"|Box)\b")
 _NEXT = re.compile(r"\s*(?:" + _FIRM + "|" + _STREETS + r")(?!\w)")
 _GOES_ON = re.compile(r"[^\S\n]*\n?[^\S\n]*([A-ZÀ-Þ][\w'’]*)")
 LOOSE_MAIL = re.compile(r"(?<![\w.+-])[\w+.-]+(?: ?@ ?| ?[\[(]at[\])] ?| at )[\w-]+(?:(?: ?\. ?| ?[\[(]dot[\])] ?| dot )[\w-]+)+", re.I)
-LOOSE_ADDRESS = re.compile(r"(?<![\w.$/#-])\d{1,5}[^\S\n]+[A-Z][\w'’]+(?:[^\S\n]+[A-Z][\w'’]+)?(?![\w'’])")
+_JOINED_TO = re.compile(r"[\w.$/#-]")  # what a house number doesn't stand behind
+LOOSE_ADDRESS = re.compile(r"\d{1,5}[^\S\n]+[A-Z][\w'’]+(?:[^\S\n]+[A-Z][\w'’]+)?(?![\w'’])")
 _SIDE = re.compile(r"[^\W\d_]+[#.]?|\d+|[^\w\s]")
 _SEEDED = re.compile(r"(?:\(\d{3}\)|\+1)")
 _NOT_GIVEN = frozenset("the a an on in at by of for to and or with as is".split())
@@ -102,14 +104,14 @@ def candidates_of(text: str) -> list[tuple[str, str, str, str, str, bool, int, i
             start -= 1
         m = EMAIL.search(text, start)
         if m and m.start() < at < m.end():
-            add("email", *m.span(), m[0].lower(), True)
+            add("email", *m.span(), m[0].lower().rpartition("@")[2], True)
         at = text.find("@", at + 1)
     for m in ADDRESS.finditer(text):
         start, end = m.span()
         # a sentence's own full stop doesn't belong to a street name written out or cut short
         if text[end - 1] == "." and not re.match(r"\.|,|\s+[a-z(]", text[end : end + 3]):
             end -= 1
-        add("address", start, end, _flat(text[start:end]).lower(), True)
+        add("address", start, end, _STREET.search(m[0])[0].lower(), True)
     for m in PHONE.finditer(text):
         add("phone", *m.span(), m[0], bool(_SEEDED.match(m[0])))
     for m in NUMBER.finditer(text):
@@ -125,7 +127,7 @@ def candidates_of(text: str) -> list[tuple[str, str, str, str, str, bool, int, i
     for m in LOOSE_ADDRESS.finditer(text):
         while free < len(busy) and busy[free][1] <= m.start():
             free += 1
-        if free == len(busy) or busy[free][0] >= m.end():
+        if (free == len(busy) or busy[free][0] >= m.end()) and not (m.start() and _JOINED_TO.match(text[m.start() - 1])):
             left, right = _around(text, *m.span())
             out.append(("address", _flat(m[0]), left, right, "?loose", False, *m.span(), ""))
     at, k = 0, 0
