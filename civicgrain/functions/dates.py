@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from civicgrain.functions.text import normalize_dashes, url_year
+from civicgrain.functions.timestamps import let
 
 # English month names.
 _NAMES = "january february march april may june july august september october november december".split()
@@ -23,6 +25,7 @@ def _month(name: Column) -> Column:
     return F.try_element_at(table, F.lower(F.substring(name, 1, 3)))
 
 
+_CUT = "\u0001"
 # Pieces that forms of dates are put together from.
 _DAY, _TWO, _YEAR, _GAP, _ORDINAL, _JOINED = "([0-9]{1,2})", "([0-9]{2})", "([0-9]{4})", r"\s+", "(?:st|nd|rd|th)?", "[-/]"
 
@@ -32,27 +35,29 @@ def _name(names: str) -> str:
 
 
 class _Reading:
-    """The first match of a form in a text, read group by group."""
+    """The first match of a form in a text, taken apart once and read group by group."""
 
     def __init__(self, text: Column, form: str) -> None:
-        self.text, self.form = text, "(?i)" + form
+        self.form, groups = "(?i)" + form, re.compile(form).groups
+        # the match is found in the text and then rewritten: two passes, however many groups
+        found = F.regexp_replace(F.regexp_extract(text, self.form, 0), self.form, _CUT.join(f"${g}" for g in range(1, groups + 1)))
+        self.parts = F.split(found, _CUT)
 
-    def part(self, group: int) -> Column:
-        return F.regexp_extract(self.text, self.form, group)
+    def date(self, year: int | Column, month: int, day: int | None = None, century: bool = False) -> Column:
+        """The date of the groups, the first of the month without a day; null if the calendar lacks it or nothing matched.
 
-    def number(self, group: int) -> Column:
-        return self.part(group).try_cast("int")
+        With ``century`` a year of two digits is of this century below 50.
+        """
 
-    def date(self, year: int | Column, month: int, day: int | None = None) -> Column:
-        """The date of the groups, the first of the month without a day; null if the calendar lacks it."""
-        months = F.coalesce(self.number(month), _month(self.part(month)))
-        return _valid(self.number(year) if isinstance(year, int) else F.when(self.part(0) != "", year), months, F.lit(1) if day is None else self.number(day))
+        def read(parts: Column) -> Column:
+            part = lambda g: F.get(parts, F.lit(g - 1))
+            number = lambda g: part(g).try_cast("int")
+            y = F.when(F.size(parts) > 1, year) if isinstance(year, Column) else number(year)
+            if century:
+                y = F.when(F.length(part(year)) == 2, y + F.when(y < 50, 2000).otherwise(1900)).otherwise(y)
+            return _valid(y, F.coalesce(number(month), _month(part(month))), F.lit(1) if day is None else number(day))
 
-
-def _century(form: _Reading, group: int) -> Column:
-    """A year as written, one of two digits being of this century below 50."""
-    n = form.number(group)
-    return F.when(form.part(0) == "", None).when(F.length(form.part(group)) == 2, n + F.when(n < 50, 2000).otherwise(1900)).otherwise(n)
+        return let(self.parts, read)
 
 
 def meeting_date(text: Column, url: Column, fallback_year: Column | int | None = None, compat: bool = False) -> Column:
@@ -69,7 +74,7 @@ def meeting_date(text: Column, url: Column, fallback_year: Column | int | None =
         *(read(_name(n) + _DAY + _ORDINAL + ",?" + _GAP + _YEAR).date(3, 1, 2) for n in (_FULL, _ABBR)),
         *(read(_name(n) + _YEAR).date(2, 1) for n in (_FULL, _ABBR)),
         read(_name(_FULL) + _DAY + r"\b").date(year, 1, 2),
-        numeric.date(_century(numeric, 3), 1, 2),
+        numeric.date(3, 1, 2, century=True),
         read(_JOINED.join((_YEAR, _DAY, _DAY))).date(1, 2, 3),
         read(_name(_ABBR) + _DAY + r"\b").date(url_year(u), 1, 2),
     )

@@ -2,9 +2,9 @@
 
 An ordered cascade of anchored patterns is tried on each text; a pattern whose
 match is no valid calendar date yields to the next one. Local times are resolved
-by ``try_make_timestamp`` with a region zone, whose rule is the policy wanted
-here: a skipped hour moves on by the length of the gap, a repeated hour is the
-earlier one.
+by ``try_make_timestamp`` with a region zone. What becomes of hours that clocks skip or
+repeat is a stated policy: by default a skipped hour moves on by the length of the gap, and
+a repeated hour is the earlier one.
 """
 
 from __future__ import annotations
@@ -147,8 +147,37 @@ def with_year(date: Column, year: Column) -> Column:
     return F.when(_valid(year, date["m"], date["d"]), F.struct(year.alias("y"), date["m"].alias("m"), date["d"].alias("d")))
 
 
-def stated_moment(text: Column, date: Column, default_zone: Column) -> Column:
-    """Epoch seconds of the clock time standing in the text on the given day, or null."""
+# What a local time may mean that a zone's clocks skip or show twice.
+SKIPPED, REPEATED = ("later", "earlier", "null"), ("earlier", "later", "null")
+
+
+def resolved_epoch(epoch: Column, stated: Column, zone: Column, skipped: str = "later", repeated: str = "earlier") -> Column:
+    """Epoch seconds of a stated local time (epoch seconds as if it were UTC) under a policy.
+
+    ``epoch`` is Java's resolution: later by the gap, the earlier of two. Clocks change by an hour or less in all
+    zones in use, so the other reading of a time shown twice is looked for an hour, and half an hour, on.
+    """
+    if skipped not in SKIPPED or repeated not in REPEATED:
+        raise ValueError(f"skipped is one of {SKIPPED}, repeated one of {REPEATED}")
+    if (skipped, repeated) == ("later", "earlier"):
+        return epoch
+    wall = lambda e: _wall_seconds(e, zone)
+    gap = wall(epoch) - stated  # more than 0 where the clocks skip the time
+    second = F.coalesce(*(F.when(wall(epoch + d) == stated, epoch + d) for d in (3600, 1800)))
+    moved = {"later": epoch, "earlier": epoch - gap, "null": F.lit(None).cast("bigint")}[skipped]
+    twice = {"earlier": epoch, "later": second, "null": F.lit(None).cast("bigint")}[repeated]
+    return F.when(gap != 0, moved).when(second.isNotNull(), twice).otherwise(epoch)
+
+
+def _wall_seconds(epoch: Column, zone: Column) -> Column:
+    """The zone's local time at a moment, in seconds as if it were UTC."""
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), epoch.cast("decimal(18,6)"))
+    local = F.convert_timezone(F.lit("UTC"), zone, utc)
+    return F.datediff(local.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint") * 86400 + F.hour(local) * 3600 + F.minute(local) * 60 + F.floor(F.second(local))
+
+
+def stated_moment(text: Column, date: Column, default_zone: Column, skipped: str = "later", repeated: str = "earlier") -> Column:
+    """Epoch seconds of the clock time standing in the text on the given day, or null. ``skipped`` and ``repeated`` say what hours that clocks skip or repeat mean."""
 
     def read(hit: Column) -> Column:
         group = lambda g: F.regexp_extract(hit, _TIME, g)
@@ -164,7 +193,9 @@ def stated_moment(text: Column, date: Column, default_zone: Column) -> Column:
         twelve = c["h"].between(1, 12)
         hour = F.when(c["half"] == "", c["h"]).when(twelve & (c["half"] == "p"), c["h"] % 12 + 12).when(twelve, c["h"] % 12)
         ok = hour.between(0, 23) & c["n"].between(0, 59) & c["s"].between(0, 59) & date["d"].isNotNull()
-        return F.when(ok, F.unix_timestamp(F.try_make_timestamp(date["y"], date["m"], date["d"], hour, c["n"], c["s"], c["zone"])))
+        java = F.unix_timestamp(F.try_make_timestamp(date["y"], date["m"], date["d"], hour, c["n"], c["s"], c["zone"]))
+        day = F.datediff(F.to_date(F.try_make_timestamp_ntz(date["y"], date["m"], date["d"], F.lit(0), F.lit(0), F.lit(0))), F.lit("1970-01-01").cast("date")).cast("bigint")
+        return F.when(ok, resolved_epoch(java, day * 86400 + hour * 3600 + c["n"] * 60 + c["s"], c["zone"], skipped, repeated))
 
     return let(F.regexp_extract(text, _TIME, 0), read)
 

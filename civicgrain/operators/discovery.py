@@ -20,18 +20,19 @@ from civicgrain.sources.files import pdf_links
 
 # Platforms that publish agendas, and systems that sites are made with, by what stands in their pages.
 PLATFORMS = {
-    "BoardDocs": r"boarddocs\.com", "Legistar": r"legistar\.com", "BoardBook": r"boardbook\.org", "Simbli": r"eboardsolutions\.com|simbli\.eboardsolutions", "CivicClerk/CivicPlus": "civicclerk|civicplus|agendacenter",
+    "BoardDocs": r"boarddocs\.com", "Legistar": r"legistar\.com", "BoardBook": r"boardbook\.org", "Simbli": r"simbli\.eboardsolutions|eboardsolutions\.com", "CivicClerk/CivicPlus": "civicclerk|civicplus|agendacenter",
     "Granicus": r"granicus\.com", "Diligent Community": r"diligent\.community|community\.diligentoneplatform", "BoardOnTrack": r"boardontrack\.com", "Sparq": r"sparqdata|meetings\.sparq",
     "Google Drive/Docs": r"drive\.google\.com|docs\.google\.com", "YouTube": r"youtube\.com|youtu\.be",
 }
 SITE_SYSTEMS = {
-    "Finalsite": "finalsite|fsPageLayout", "Edlio": "edlio", "Blackboard/SchoolWires": r"schoolwires|blackboard|/site/default\.aspx|/cms/lib", "Apptegy/Thrillshare": "apptegy|thrillshare",
+    "Finalsite": r"finalsite|fsPageLayout|resources\.finalsite", "Edlio": "edlio", "Blackboard/SchoolWires": r"schoolwires|blackboard|/site/Default\.aspx|/cms/lib", "Apptegy/Thrillshare": "apptegy|thrillshare",
     "SchoolMessenger": "schoolmessenger|/pages/", "ParentSquare/Smore": "parentsquare",
 }
 GENERAL = ("Google Drive/Docs", "YouTube")  # hosts of all kinds of things: no sign of a platform in a single link
 # Hosts that nothing is fetched from.
 BLOCKED_HOSTS = ("go.boarddocs.com", "files.smartsites.parentsquare.com")
 AGENT = "records-engine"
+# Addresses that are no pages, and words in those of meetings, boards and their documents.
 HREF = r"""(?i)href\s*=\s*["']([^"']+)["']"""
 NO_PAGE = r"(?i)\.(?:pdf|jpe?g|png|docx?|xlsx?)(?:$|\?)|keyboard|dashboard|onboard|^mailto:|^javascript:|#"
 MEETING_PAGE, BOARD_PAGE = "(?i)agenda|minutes|meeting", r"(?i)board|boe\b|trustee"

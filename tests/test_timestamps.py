@@ -56,3 +56,16 @@ def test_session_zone_does_not_matter(spark, zone):
 
 def test_empty_table(spark):
     assert resolve_meeting_moments(spark.createDataFrame([], "doc_id long, link_text string, source_url string, meeting_date date")).count() == 0
+
+
+@pytest.mark.parametrize("skipped,repeated,want", [
+    ("later", "earlier", ("2026-03-08T07:30:00Z", "2026-11-01T05:30:00Z")), ("earlier", "later", ("2026-03-08T06:30:00Z", "2026-11-01T06:30:00Z")), ("null", "null", ("2026-03-08", "2026-11-01")),
+])
+def test_policy_of_skipped_and_repeated_hours(spark, skipped, repeated, want):
+    """Other times, offsets and zones without a season stay as they are under any policy."""
+    texts = ["3/8/2026 2:30 a.m.", "11/1/2026 1:30 a.m.", "3/8/2026 3:30 a.m.", "11/1/2026 2:30 a.m.", "11/1/2026 1:30 a.m. EST", "7/4/2026 10:00 PT"]
+    rows = spark.createDataFrame([(i, t, "", None) for i, t in enumerate(texts)], "doc_id long, link_text string, source_url string, meeting_date date")
+    got = {r.doc_id: r.resolved for r in resolve_meeting_moments(rows, skipped=skipped, repeated=repeated).collect()}
+    assert got == {0: want[0], 1: want[1], 2: "2026-03-08T07:30:00Z", 3: "2026-11-01T07:30:00Z", 4: "2026-11-01T06:30:00Z", 5: "2026-07-04T17:00:00Z"}
+    with pytest.raises(ValueError, match="skipped is one of"):
+        resolve_meeting_moments(rows, skipped="never")
