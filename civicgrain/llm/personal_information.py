@@ -192,11 +192,13 @@ def _bootstrap(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
     for _ in range(_MOST_ROUNDS):
         told = edges.where(~shape | ~F.col("instance").startswith("?")).join(known.withColumn("good", F.lit(1)), ["kind", "instance"], "left")
         score = told.groupBy("kind", "pattern").agg(F.sum(F.col("good") * F.col("n")).alias("good"), F.sum("n").alias("n"), F.countDistinct(F.when(F.col("good") == 1, F.col("instance"))).alias("kinds"))
-        share = F.lit(0.1)
-        sure = saved(score.where((F.col("kinds") >= F.when(shape, 3).otherwise(2)) & (F.col("good") >= share * F.col("n"))).select("kind", "pattern"))
+        # hosts and street types are few, so one of them that stands twice is enough, but loose forms mustn't prevail; given names and numbers must differ
+        coarse = F.col("kind").isin("email", "address")
+        various = F.col("kinds") >= F.when(shape, 3).when(coarse, 1).otherwise(2)
+        sure = saved(score.where(various & (F.col("good") >= 2) & (F.col("good") >= F.when(coarse, 0.5).otherwise(0.1) * F.col("n"))).select("kind", "pattern"))
         # an instance is known once most of what it does happens in confident contexts
         seen = edges.join(sure.withColumn("good", F.lit(1)), ["kind", "pattern"], "left").groupBy("kind", "instance").agg(F.sum(F.col("good") * F.col("n")).alias("good"), F.sum("n").alias("n"))
-        new = seen.where((shape & (F.col("good") >= 2) & (F.col("good") >= 0.3 * F.col("n"))) | (~shape & (F.col("good") >= 1))).select("kind", "instance")
+        new = seen.where(~F.col("instance").startswith("?")).where((shape & (F.col("good") >= 2) & (F.col("good") >= 0.3 * F.col("n"))) | (~shape & (F.col("good") >= 1))).select("kind", "instance")
         known = saved(known.union(new).distinct())
         if (now := known.count()) == held:
             break

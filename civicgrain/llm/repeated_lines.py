@@ -73,15 +73,8 @@ def _enough(n: Column, docs: Column, least: int, percent: int) -> Column:
     return (n >= least) & (n * 100 >= docs * percent)
 
 
-def recurring_lines(documents: DataFrame, min_length: int = MIN_LENGTH, min_documents: int = MIN_DOCUMENTS, min_percent: int = MIN_PERCENT) -> DataFrame:
-    """(doc_id, line_no) of lines that stand in at least ``min_documents`` and ``min_percent`` percent of a body's texts.
-
-    Summaries name the candidates (in a body whose summaries ran too short, all of its lines
-    are), a second pass counts exactly in how many documents each
-    one stands. Rows with a null text or body are neither counted nor returned; an empty
-    text is a text of one empty line. A line twice in a document counts once and is returned
-    twice. Lines without any letter are the same line. Columns of other names don't matter.
-    """
+def _found(documents: DataFrame, min_length: int, min_documents: int, min_percent: int) -> tuple[DataFrame, DataFrame]:
+    """(standing, confirmed): where candidate lines stand, and the (body_id, key) of those that recur."""
     merged = saved(_summaries(documents, min_length).groupBy("body_id", "key").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.sum("slack").alias("slack")))
     totals = merged.where("key is null").select("body_id", "docs", "slack")
     # a line no summary holds stands in at most as many documents as the slack: where that could be enough, every line of the body is a candidate
@@ -94,13 +87,32 @@ def recurring_lines(documents: DataFrame, min_length: int = MIN_LENGTH, min_docu
         standing = standing.join(short.select("body_id"), "body_id", "left_anti").unionByName(lines.join(short, "body_id"))
     standing = saved(standing)
     exact = standing.groupBy("body_id", "key", "docs").agg(F.countDistinct("doc_id").alias("n"))
-    confirmed = exact.where(_enough(F.col("n"), F.col("docs"), min_documents, min_percent)).select("body_id", "key")
+    return standing, exact.where(_enough(F.col("n"), F.col("docs"), min_documents, min_percent)).select("body_id", "key")
+
+
+def recurring_lines(documents: DataFrame, min_length: int = MIN_LENGTH, min_documents: int = MIN_DOCUMENTS, min_percent: int = MIN_PERCENT) -> DataFrame:
+    """(doc_id, line_no) of lines that stand in at least ``min_documents`` and ``min_percent`` percent of a body's texts.
+
+    Summaries name the candidates (in a body whose summaries ran too short, all of its lines
+    are), a second pass counts exactly in how many documents each
+    one stands. Rows with a null text or body are neither counted nor returned; an empty
+    text is a text of one empty line. A line twice in a document counts once and is returned
+    twice. Lines without any letter are the same line. Columns of other names don't matter.
+    """
+    standing, confirmed = _found(documents, min_length, min_documents, min_percent)
     return standing.join(confirmed, ["body_id", "key"], "left_semi").select("doc_id", "line_no")
 
 
-def without_recurring_lines(documents: DataFrame, **limits) -> DataFrame:
-    """(doc_id, text): every document, its recurring lines taken out; a null text stays null."""
-    out = recurring_lines(documents, **limits).groupBy("doc_id").agg(F.collect_set("line_no").alias("out"))
-    kept = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains("out", s["i"]))
-    text = F.when(F.col("out").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda s: s["x"]), "\n"))
-    return documents.select("doc_id", "text").join(out, "doc_id", "left").select("doc_id", text.alias("text"))
+def without_recurring_lines(documents: DataFrame, min_length: int = MIN_LENGTH, min_documents: int = MIN_DOCUMENTS, min_percent: int = MIN_PERCENT) -> DataFrame:
+    """(doc_id, text): every document, its recurring lines taken out; a null text stays null.
+
+    Each body's confirmed lines are a set that is broadcast, so texts are read in place. Should there be more of
+    them than can be broadcast, texts are joined with the set of their own body by a shuffle.
+    """
+    _, confirmed = _found(documents, min_length, min_documents, min_percent)
+    confirmed = saved(confirmed)
+    small = confirmed.count() <= _BROADCAST_ROWS
+    sets = confirmed.groupBy("body_id").agg(F.collect_set("key").alias("_out"))  # at most 100 / min_percent times the lines of an average document
+    rows = documents.select("doc_id", "body_id", "text").join(F.broadcast(sets) if small else sets, "body_id", "left")
+    kept = F.filter(F.split("text", "\n"), lambda x: ~(_long_enough(x, min_length) & F.array_contains("_out", line_key(x))))
+    return rows.select("doc_id", F.when(F.col("_out").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"))
