@@ -182,22 +182,23 @@ def _candidates(documents: DataFrame) -> DataFrame:
 
 def _bootstrap(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(kind, pattern) and (kind, instance) that rounds over the graph make confident, until a round adds nothing."""
-    open_ = candidates.where("after = ''")  # what may go on teaches nothing
+    # a name that goes on in its line speaks against its context, one that may go on in the next line says nothing
+    open_ = candidates.where("after not like '\n%'").withColumn("ends", (F.col("after") == "").cast("long"))
     sides = F.explode(F.array(F.concat(F.lit("L "), "left"), F.concat(F.lit("R "), "right")))
-    told = open_.select("kind", sides.alias("pattern"), "instance", "certain").where("kind <> 'name' or (pattern not like 'L %.' and substring(pattern, 3) rlike '[^0-9 ,.;:-]')")  # anything may begin a sentence
-    edges = saved(told.groupBy("kind", "pattern", "instance").agg(F.count("*").alias("n"), F.max("certain").alias("certain")))
+    told = open_.select("kind", sides.alias("pattern"), "instance", "certain", "ends").where("kind <> 'name' or (pattern not like 'L %.' and substring(pattern, 3) rlike '[^0-9 ,.;:-]')")  # anything may begin a sentence
+    edges = saved(told.groupBy("kind", "pattern", "instance").agg(F.count("*").alias("n"), F.sum("ends").alias("m"), F.max("certain").alias("certain")))
     shape = F.col("kind") == "name"
     known = saved(edges.where((shape & F.col("instance").isin(SEED_GIVEN)) | (~shape & F.col("certain"))).select("kind", "instance").distinct())
     sure, held = None, -1
     for _ in range(_MOST_ROUNDS):
         told = edges.where(~shape | ~F.col("instance").startswith("?")).join(known.withColumn("good", F.lit(1)), ["kind", "instance"], "left")
-        score = told.groupBy("kind", "pattern").agg(F.sum(F.col("good") * F.col("n")).alias("good"), F.sum("n").alias("n"), F.countDistinct(F.when(F.col("good") == 1, F.col("instance"))).alias("kinds"))
+        score = told.groupBy("kind", "pattern").agg(F.sum(F.col("good") * F.col("m")).alias("good"), F.sum("n").alias("n"), F.countDistinct(F.when((F.col("good") == 1) & (F.col("m") > 0), F.col("instance"))).alias("kinds"))
         # hosts and street types are few, so one of them that stands twice is enough, but loose forms mustn't prevail; given names and numbers must differ
         coarse = F.col("kind").isin("email", "address")
         various = F.col("kinds") >= F.when(shape, 3).when(coarse, 1).otherwise(2)
         sure = saved(score.where(various & (F.col("good") >= 2) & (F.col("good") >= F.when(coarse, 0.5).otherwise(0.1) * F.col("n"))).select("kind", "pattern"))
         # an instance is known once most of what it does happens in confident contexts
-        seen = edges.join(sure.withColumn("good", F.lit(1)), ["kind", "pattern"], "left").groupBy("kind", "instance").agg(F.sum(F.col("good") * F.col("n")).alias("good"), F.sum("n").alias("n"))
+        seen = edges.join(sure.withColumn("good", F.lit(1)), ["kind", "pattern"], "left").groupBy("kind", "instance").agg(F.sum(F.col("good") * F.col("m")).alias("good"), F.sum("m").alias("n"))
         new = seen.where(~F.col("instance").startswith("?")).where((shape & (F.col("good") >= 2) & (F.col("good") >= 0.3 * F.col("n"))) | (~shape & (F.col("good") >= 1))).select("kind", "instance")
         known = saved(known.union(new).distinct())
         if (now := known.count()) == held:

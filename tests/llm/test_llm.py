@@ -331,8 +331,10 @@ def test_words_that_make_a_name_something_else_are_learned(spark):
     rng = random.Random(9)
     body = "Motion by %s Brenwick, seconded by %s Talrow, to accept it. The drawings for %s Ruddale Zoological Pavilion are on file. Moved by %s Vennar Zoological."
     rows = [(i, body % tuple(rng.choice(given) for _ in range(4))) for i in range(60)]
+    # a few of many end here by misreading, and by their number alone would make the context a sure one
+    rows += [(100 + i, f"The drawings for {g} Ruddale zoological pavilion are on file.") for i, g in enumerate(given[:4])]
     names = {r.found for r in personal_information.find_personal_information(frame(spark, rows)).collect()}
-    assert any("Brenwick" in n for n in names) and any("Talrow" in n for n in names) and not any("Ruddale" in n for n in names)
+    assert any("Brenwick" in n for n in names) and any("Talrow" in n for n in names) and sum("Ruddale" in n for n in names) <= 4
 
 
 def test_loose_forms_need_confident_contexts(spark):
