@@ -260,7 +260,9 @@ def match_bodies(bodies: DataFrame, units: DataFrame, sample: int = SAMPLE) -> D
     allowed = F.least(*(F.when(F.length(c) > 7, 2).when(F.length(c) > 3, 1).otherwise(0) for c in ("x_place", "y_place"))) + agreed.cast("int")
     rows = rows.where(F.col("typed") <= allowed).withColumn("x_rivals", F.count("*").over(Window.partitionBy("y_id"))).withColumn("y_rivals", F.count("*").over(Window.partitionBy("x_id")))
     rows = saved(rows.select("x_id", "y_id", "x_area", "y_area", "place_score", "area_score", "host_dice", "typed", "x_rivals", "y_rivals"))
-    model = fit_confidence(rows, sample)
+    areas = right.where("area <> ''").groupBy("area").agg(F.count("*").alias("n"))
+    at_large = areas.agg(F.try_divide(F.sum(F.col("n") * F.col("n")).cast("double"), F.sum("n") * F.sum("n")).alias("p")).first()["p"]  # one number
+    model = fit_confidence(rows, sample, at_large)
     z = sum((F.lit(w) * c for w, c in zip(model.place, _features())), F.lit(0.0)) + F.when(F.col("area_score") > 0, model.area).otherwise(0.0)
     z = z + F.coalesce(F.get(F.array(*map(F.lit, model.host)), _host_bin()), F.lit(0.0))
     odds = F.exp(F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0)))
@@ -274,7 +276,8 @@ def match_bodies(bodies: DataFrame, units: DataFrame, sample: int = SAMPLE) -> D
 
 
 def _features() -> list[Column]:
-    return [F.lit(1.0), F.col("place_score"), F.col("typed").cast("double"), F.log("x_rivals"), F.log("y_rivals")]
+    # one of k candidates is the right one: odds of one to the k - 1 others
+    return [F.lit(1.0), F.col("place_score"), F.col("typed").cast("double"), F.log(F.col("x_rivals") - 0.9), F.log(F.col("y_rivals") - 0.9)]
 
 
 def _host_bin() -> Column:
@@ -286,12 +289,12 @@ def _host_bin() -> Column:
 class Confidence:
     """In log odds: the curve over ``_features``, and what an equal area and other, similar or equal hosts add."""
 
-    place: tuple[float, ...] = (-6.0, 8.0, -0.5, -1.5, -0.5)
+    place: tuple[float, ...] = (-6.0, 8.0, -0.5, -1.0, -0.3)
     area: float = 3.0
     host: tuple[float, float, float] = (-2.0, 0.0, 3.0)
 
 
-def fit_confidence(rows: DataFrame, sample: int = SAMPLE) -> Confidence:
+def fit_confidence(rows: DataFrame, sample: int = SAMPLE, at_large: float | None = None) -> Confidence:
     """Fitted on at most ``sample`` of the candidate pairs, those of smallest hash.
 
     The curve is ridge-penalised towards the defaults, and rates have the defaults as
@@ -315,7 +318,7 @@ def fit_confidence(rows: DataFrame, sample: int = SAMPLE) -> Confidence:
                 break
     # an equal area: among pairs of one host, against pairs at large
     hosted = [r["area_score"] > 0 for r in told if r["bin"] == 2]
-    at_large = np.exp(-default.area)
+    at_large = np.exp(-default.area) if at_large is None else min(max(at_large, 1e-6), np.exp(-default.area))  # how often two areas agree by chance
     area = np.log((sum(hosted) + 19) / (len(hosted) + 20) / at_large)
     host = []
     for k, d in enumerate(default.host):
