@@ -1,26 +1,28 @@
-"""Problem 2: pairs of near-duplicate texts by bottom-k sketches.
-
-One hash function is applied to every sequence of ``width`` consecutive words. A text keeps
-its ``k`` smallest values. Texts with the same set of sequences form one class, whose
-smallest id stands for it. Then
-
-1. every text orders its retained values from rare to common, by counts over all texts, and
-   enters the inverted lists of the first of them: so many that two similar texts, which share
-   at least ``least_shared`` retained values, meet twice but for a chance of ``_MISSED``. No list is
-   dropped or cut short. The list of a common value is told apart by what follows it: the text's
-   next sequences after a place the value itself names. Those of similar texts agree as
-   often as their sequences do, those of other texts hardly ever. The commoner the value
-   the more of them count, at most ``_FOLLOWING``; the rarer ones then ask for more lists.
+"""Problem 2: pairs of near-duplicate texts by lists of their sequences.
+
+Every sequence of ``width`` consecutive words is one hash. Texts with the same set of them
+form one class, whose smallest id stands for it. Then
+
+1. every text enters inverted lists, so many that two similar texts meet in two of them but for
+   a chance of ``_MISSED``, however common their sequences are and whatever their sizes. A list
+   holds the texts that agree in some sequences: those that follow a place, the same for all
+   texts, when a text's sequences are sorted by one of many hash functions. Texts of a few
+   sequences enter a list for each part of them that a similar text can share, which leaves
+   nothing to chance. No list is dropped or cut short.
 2. a long list is split into blocks of texts and each two blocks are paired by a task of
    their own. Texts whose sizes rule the similarity out make no pair.
-3. the union of both sketches estimates the similarity; pairs far below the threshold go.
+3. the smallest hashes of both texts estimate the similarity; pairs whose chance to be similar
+   is below ``_MISSED`` go.
 4. the exact Jaccard similarity of the sequences decides.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,130 +32,191 @@ from pyspark.sql import functions as F
 from civicgrain.llm.storage import saved
 from civicgrain.llm.words import mix, shingles
 
-WIDTH, THRESHOLD, RETAINED = 5, 0.8, 128
-_DEVIATIONS = 4.0  # standard errors left below the retained values two similar texts share
-_COUNTERS = 1 << 20  # of the summary values are ordered by: 4 MB whatever the data
-_RARE, _FOLLOWING, _MISSED, _MEETINGS = 8, 5, 1e-4, 2
+WIDTH, THRESHOLD, RETAINED = 5, 0.8, 64
+_MISSED, _MEETINGS = 1e-9, 2
+_SUBSETS = 200  # lists for parts of a text at most; texts that have more parts enter windows
+_SHORT, _PLACES = 256, 8  # texts of more sequences have that many windows in each order, so far apart that they hardly ever overlap
+_VALUES, _MOST = 5, 512  # sequences of a window, fewer if more lists than that were needed
+_KEY = 5  # bytes of a list's key that are kept, the high ones
 _BLOCK = 256  # texts of a list compared in one piece
-_FILTER = 64  # retained values the estimate looks at
+_SAMPLED, _SEEN = 10_000, 24  # texts long lists are looked for in, one in a hundred if that is more; times a list must be seen there
 _PAIRS = 1 << 20  # pairs sent on at once
+_MEMBERS = 1024  # equal texts each of their class is paired with by one task
 
 
-def least_shared(n: int, k: int, threshold: float) -> int:
-    """Retained values a text of ``n`` sequences shares with any similar text.
+class Windows(NamedTuple):
+    """Lists for pairs of which the larger text has more than ``low`` and at most ``high`` sequences."""
 
-    Similar texts share ``threshold`` times the sequences of the larger one. A text and a
-    partner both kept whole share that many exactly. Else the sketch that ends earlier is a
-    sample of ``k`` sequences, of which that share is common but for a few standard errors.
-    """
-    whole = math.ceil(threshold * n - 1e-9)
-    if n / threshold <= k:
-        return max(whole, 1)
-    return max(1, min(whole, int(threshold * k - _DEVIATIONS * (threshold * (1 - threshold) * k) ** 0.5)))
+    low: int
+    high: float
+    places: int
+    values: int
+    orders: int
+
+
+def _chance(low: int, threshold: float, values: int) -> float:
+    """The least chance that ``values`` sequences drawn from two similar texts, the larger of more than ``low``, are in both."""
+
+    def drawn(union: int) -> float:
+        shared = math.ceil(threshold * union - 1e-9)
+        return math.prod(max(shared - i, 0) / (union - i) for i in range(values)) if union >= values else 0.0
 
+    return min(threshold**values, *(drawn(u) for u in range(low + 1, low + 201)))
 
-def _followers(found: np.ndarray, held: np.ndarray) -> np.ndarray:
-    """For each retained value a byte of each of the ``_FOLLOWING`` sequences after the place it names, round the end."""
-    at = np.searchsorted(found, mix(held ^ np.uint64(0x9E3779B97F4A7C15)))[:, None] + np.arange(_FOLLOWING)
-    return (found[at % len(found)] & np.uint64(255)).astype(np.uint8)
 
+def _needed(chance: float) -> float:
+    """Lists of which fewer than ``_MEETINGS`` = 2 bring a pair together with a chance of ``_MISSED`` at most."""
+    if chance <= 0:
+        return math.inf
+    n = _MEETINGS
+    while (1 - chance) ** n + n * chance * (1 - chance) ** (n - 1) > _MISSED:
+        n += 1
+    return n
+
+
+def _parts(n: int, threshold: float) -> int:
+    return sum(math.comb(n, c) for c in range(max(1, math.ceil(threshold * n - 1e-9)), n + 1))
+
+
+@functools.cache
+def scheme(threshold: float, texts: int) -> tuple[int, tuple[Windows, ...]]:
+    """(tiny, windows): up to ``tiny`` sequences a text enters the lists of its parts; windows by size of the larger text.
+
+    Texts that aren't similar meet less often the longer the windows are, so these grow by
+    one sequence for ten times the texts, and the number of lists with them.
+    """
+    tiny = 0
+    while tiny < 64 and _parts(tiny + 1, threshold) <= _SUBSETS:
+        tiny += 1
+    values = max(_VALUES, round(math.log10(max(texts, 1))))
+    windows = []
+    for low, high, places in ((tiny, _SHORT, 1), (_SHORT, math.inf, _PLACES)):
+        needed = {v: _needed(_chance(low, threshold, v)) for v in range(values, 0, -1)}
+        taken = next((v for v, n in needed.items() if n <= _MOST), 1)
+        windows.append(Windows(low, high, places, taken, -(-needed[taken] // places)))
+    return tiny, tuple(windows)
+
+
+@functools.cache
+def _subsets(n: int, threshold: float) -> np.ndarray:
+    """A row for each set of places among ``n`` that holds the share ``threshold`` of them, 1 for each place in it."""
+    least = max(1, math.ceil(threshold * n - 1e-9))
+    return np.array([[i in part for i in range(n)] for c in range(least, n + 1) for part in itertools.combinations(range(n), c)], np.uint64)
+
+
+@functools.cache
+def _factors(kind: int, n: int) -> np.ndarray:
+    return mix(mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(kind))) | np.uint64(1)
+
+
+def _windows(found: np.ndarray, kind: int, w: Windows) -> Iterator[np.ndarray]:
+    n = len(found)
+    step = max(1, _PAIRS // n)
+    for first in range(0, w.orders, step):
+        factor = _factors(kind, w.orders)[first : first + step, None]
+        order = np.sort(((found * factor) >> np.uint64(32)).astype(np.uint32), axis=1)
+        row = np.arange(len(order))
+        if w.places == 1:
+            start = np.zeros((len(order), 1), np.int64)
+        else:
+            above = row.astype(np.uint64)[:, None] << np.uint64(32)
+            place = above + np.arange(w.places, dtype=np.uint64) * np.uint64((1 << 32) // w.places)
+            start = np.searchsorted((order + above).ravel(), place.ravel()).reshape(place.shape) - row[:, None] * n
+        values = order[row[:, None, None], (start[:, :, None] + np.arange(w.values)) % n].astype(np.uint64)
+        key = (values * _factors(kind + 8, w.values)).sum(axis=2, dtype=np.uint64)
+        yield mix(mix(key) + factor * (np.arange(w.places, dtype=np.uint64) + np.uint64(1))).ravel()
+
+
+def entered(found: np.ndarray, threshold: float, texts: int) -> np.ndarray:
+    """The lists a text of these sequences enters, as hashes.
+
+    What two similar texts share is a part of both, and holds the share ``threshold`` of either,
+    so tiny texts, which enter a list twice for each such part, meet for certain. Larger ones have
+    the same window if the sequences both have first after its place are shared, each with the chance
+    ``_chance`` has. A text enters the windows of every size a similar text may have.
+    """
+    tiny, windows = scheme(threshold, texts)
+    out = []
+    if len(found) <= tiny:
+        part = mix((_subsets(len(found), threshold) * mix(found ^ np.uint64(1))).sum(axis=1, dtype=np.uint64))
+        out += [mix(part + f) for f in _factors(1, _MEETINGS)]
+    for kind, w in enumerate(windows, 2):
+        if len(found) <= w.high and math.floor(len(found) / threshold + 1e-9) > w.low:
+            out += _windows(found, kind, w)
+    return np.concatenate(out) & ~np.uint64((1 << (64 - 8 * _KEY)) - 1)
+
+
+def _sketches(documents: DataFrame, width: int, k: int, threshold: float) -> DataFrame:
+    """(doc_id, class_key, n, sketch, listed): the ``k`` smallest hashes by their high four bytes; lists by their high ``_KEY`` bytes."""
+    texts = documents.count()
 
-def _sketches(documents: DataFrame, width: int, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in batches:
-            ids, keys, sizes, kept, next_ = [], [], [], [], []
+            ids, keys, sizes, kept, listed = [], [], [], [], []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = shingles(text, width)
                 if len(found):
                     ids.append(i)
                     keys.append(xxhash.xxh3_128_digest(found.tobytes()))
                     sizes.append(len(found))
-                    kept.append(found[:k].tobytes())
-                    next_.append(_followers(found, found[:k]).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(kept, pa.binary()), pa.array(next_, pa.binary())], names=["doc_id", "class_key", "n", "sketch", "next"])
+                    kept.append((found[:k] >> np.uint64(32)).astype(np.uint32).tobytes())
+                    listed.append(entered(found, threshold, texts).view(np.uint8).reshape(-1, 8)[:, 8 - _KEY :].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(kept, pa.binary()), pa.array(listed, pa.binary())], names=["doc_id", "class_key", "n", "sketch", "listed"])
 
     rows = documents.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null")
-    return rows.mapInArrow(run, "doc_id long, class_key binary, n int, sketch binary, next binary")
+    return rows.mapInArrow(run, "doc_id long, class_key binary, n int, sketch binary, listed binary")
 
 
-def _counted(values: DataFrame) -> np.ndarray:
-    """How many of the values of a binary column fall on each of ``_COUNTERS`` counters: no less than any value's own count."""
+def _unpacked(raw: list[bytes], key: int) -> np.ndarray:
+    """Lists of which the high ``key`` bytes are given."""
+    given = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, key)
+    out = np.zeros((len(given), 8), np.uint8)
+    out[:, 8 - key :] = given
+    return out.view(np.uint64).ravel()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(_COUNTERS, np.int64)
-        for batch in batches:
-            held = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
-            counts += np.bincount((held % np.uint64(_COUNTERS)).astype(np.int64), minlength=_COUNTERS)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["counter", "n"])
-
-    out = np.zeros(_COUNTERS, np.int64)
-    total = values.mapInArrow(run, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
-    for batch in total.toArrow().to_batches():  # at most _COUNTERS rows of two numbers
-        out[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
-    return out
-
-
-def entered(counts: np.ndarray, n: int, k: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(order, followers): the retained values whose lists a text enters, as places in its sketch, and how many followers tell each list apart.
-
-    Of the values in order from rare to common, all but the ``least_shared`` may be the text's
-    own. Those after them are shared, and each of their lists brings similar texts together
-    with a chance of ``threshold`` to the number of followers; so many are taken that fewer
-    than ``_MEETINGS`` of them do so with a chance of ``_MISSED`` at most. Texts that are similar
-    but not the same share three sequences at least, so the short ones, entered everywhere, meet often enough too.
+
+def _long(listed: DataFrame, key: int) -> tuple[np.ndarray, np.ndarray]:
+    """(lists, lengths) of lists of more than ``_BLOCK`` texts, by a sample of the texts if they are many.
+
+    The sample decides what is split, not what is paired: a long list it doesn't show is paired in one piece.
     """
-    order = np.argsort(counts, kind="stable")  # sketches are in order of the values, so ties are alike in all texts
-    depth = np.clip(np.ceil(np.log2(np.maximum(counts[order], _RARE) / _RARE) / 2), 0, _FOLLOWING).astype(np.int64)
-    own = len(counts) - least_shared(n, k, threshold)
-    # lists that bring a pair together for certain count as meetings, the others by the chances of none and of exactly one
-    chance = np.minimum(threshold ** depth[own:].astype(np.float64), 1.0)
-    certain = np.cumsum(chance == 1.0)
-    unsure = np.where(chance == 1.0, 0.0, chance)
-    none = np.cumprod(1 - unsure)
-    once = none * np.cumsum(unsure / (1 - unsure))
-    failed = np.where(certain >= 2, 0.0, np.where(certain == 1, none, none + once))
-    enough = np.flatnonzero(failed <= _MISSED)
-    last = own + int(enough[0]) + 1 if len(enough) else len(order)
-    return order[:last], depth[:last]
-
-
-def _listed(sketches: DataFrame, k: int, threshold: float) -> DataFrame:
-    """(doc_id, n, listed): the lists each text enters, as hashes."""
-    counts = sketches.sparkSession.sparkContext.broadcast(_counted(sketches.select("sketch")))  # of fixed size
+    texts = listed.count()
+    share = min(1.0, max(_SAMPLED, texts / 100) / max(texts, 1))
+    below = np.uint64(min(int(share * 2.0**64), 2**64 - 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for n, raw, after in zip(*(batch.column(c).to_pylist() for c in (1, 2, 3))):
-                held, next_ = np.frombuffer(raw, np.uint64), np.frombuffer(after, np.uint8).reshape(-1, _FOLLOWING)
-                order, depth = entered(counts.value[(held % np.uint64(_COUNTERS)).astype(np.int64)], n, k, threshold)
-                key = held[order].copy()
-                for d in range(_FOLLOWING):
-                    more = depth > d
-                    key[more] = mix(key[more] ^ (next_[order[more], d].astype(np.uint64) << np.uint64(8 * d + 8))) + np.uint64(1)
-                out.append(key.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["doc_id", "n", "listed"])
+            own = mix(mix(batch.column(0).to_numpy(zero_copy_only=False).astype(np.uint64)))
+            value = _unpacked(batch.filter(pa.array(own <= below)).column(1).to_pylist(), key)
+            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64))], names=["list"])
 
-    return sketches.select("doc_id", "n", "sketch", "next").mapInArrow(run, "doc_id long, n int, listed binary")
+    counts = listed.select("doc_id", "listed").mapInArrow(run, "list long").groupBy("list").agg(F.count("*").alias("n"))
+    table = counts.where(F.col("n") > max(_BLOCK * share, _SEEN if share < 1 else 0)).toArrow()  # no more than the lists' texts over _BLOCK, or 2,400 in a large input
+    value, n = (table.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in (0, 1))
+    order = np.argsort(value.view(np.uint64))
+    return value.view(np.uint64)[order], np.ceil(n[order] / share).astype(np.int64)
 
 
-def _postings(listed: DataFrame) -> DataFrame:
+def _postings(listed: DataFrame, key: int = 8) -> DataFrame:
     """(list, doc_id, n, side): lists by hash; a long one is cut into blocks, and a text enters
     the list of its block with each block, on side 1 where its block is the later one."""
-    counts = listed.sparkSession.sparkContext.broadcast(_counted(listed.select("listed")))  # of fixed size
+    long = listed.sparkSession.sparkContext.broadcast(_long(listed, key))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, length = long.value
         for batch in batches:
             raw = batch.column(2).to_pylist()
             if not raw:
                 continue
-            each = [len(x) // 8 for x in raw]
-            value = np.frombuffer(b"".join(raw), np.uint64)
+            each = [len(x) // key for x in raw]
+            value = _unpacked(raw, key)
             doc, n = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False), each) for c in (0, 1))
-            blocks = -(-counts.value[(value % np.uint64(_COUNTERS)).astype(np.int64)] // _BLOCK)
+            blocks = np.ones(len(value), np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, value), len(known) - 1)
+                blocks = np.where(known[at] == value, -(-length[at] // _BLOCK), 1)
             short = blocks <= 1
             yield rows(value[short], doc[short], n[short], np.zeros(int(short.sum()), np.int8))
             many = np.flatnonzero(~short)
@@ -164,13 +227,13 @@ def _postings(listed: DataFrame) -> DataFrame:
                     own, v, d, m = (np.repeat(x, b) for x in (own, value[part], doc[part], n[part]))
                     other = np.arange(len(own)) - np.repeat(np.cumsum(b) - b, b)
                     low, high = np.minimum(own, other), np.maximum(own, other)
-                    key = mix(mix(v ^ (low.astype(np.uint64) << np.uint64(32))) ^ (high.astype(np.uint64) + np.uint64(1)))
-                    yield rows(key, d, m, (own > other).astype(np.int8))
+                    pair = mix(mix(v ^ (low.astype(np.uint64) << np.uint64(32))) ^ (high.astype(np.uint64) + np.uint64(1)))
+                    yield rows(pair, d, m, (own > other).astype(np.int8))
 
-    def rows(key, doc, n, side) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc), pa.array(n.astype(np.int32)), pa.array(side)], names=["list", "doc_id", "n", "side"])
+    def rows(value, doc, n, side) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(doc), pa.array(n.astype(np.int32)), pa.array(side)], names=["list", "doc_id", "n", "side"])
 
-    return listed.mapInArrow(run, "list long, doc_id long, n int, side byte")
+    return listed.select("doc_id", "n", "listed").mapInArrow(run, "list long, doc_id long, n int, side byte")
 
 
 def _met(postings: DataFrame, threshold: float) -> DataFrame:
@@ -220,24 +283,32 @@ def _met(postings: DataFrame, threshold: float) -> DataFrame:
     return met.where(F.col("n") >= _MEETINGS).select("a", "b")
 
 
-def _estimated(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
-    """Pairs whose union sketch doesn't put them more than four standard errors below the threshold."""
-    width = _FILTER * 8
+def _least_common(threshold: float, k: int) -> int:
+    """The most such that ``k`` sequences drawn from two similar texts hold fewer common ones with a chance of ``_MISSED`` at most."""
+    below, c = 0.0, 0
+    while c < k and (below := below + math.comb(k, c) * threshold**c * (1 - threshold) ** (k - c)) <= _MISSED:
+        c += 1
+    return c
+
+
+def _estimated(pairs: DataFrame, sketches: DataFrame, threshold: float, k: int) -> DataFrame:
+    """Pairs of which the ``k`` smallest hashes of both texts hold as many common ones as those of similar texts do but for a chance of ``_MISSED``."""
+    least = _least_common(threshold, k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                # a sketch shorter than the filter holds the whole text; a longer one is known up to its last value
-                top = min(x[-1] if len(x) == _FILTER else ~np.uint64(0), y[-1] if len(y) == _FILTER else ~np.uint64(0))
-                x, y = x[x <= top], y[y <= top]
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                union = len(x) + len(y) - both
-                keep.append(both / union >= threshold - 4 * (threshold * (1 - threshold) / union) ** 0.5 if union else False)
+                both = np.sort(np.frombuffer(x + y, np.uint32))
+                again = np.r_[False, both[1:] == both[:-1]]
+                place = np.cumsum(~again)
+                if place[-1] < k:  # both texts are known whole
+                    keep.append(bool(again.sum() >= threshold * place[-1] - 1e-9))
+                else:
+                    keep.append(bool((again & (place <= k)).sum() >= least))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    small = sketches.select("doc_id", F.substring("sketch", 1, width).alias("sketch"))
+    small = sketches.select("doc_id", "sketch")
     rows = pairs.join(small.select(F.col("doc_id").alias("a"), F.col("sketch").alias("x")), "a").join(small.select(F.col("doc_id").alias("b"), F.col("sketch").alias("y")), "b")
     return rows.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
@@ -282,30 +353,32 @@ def near_duplicate_classes(documents: DataFrame, width: int = WIDTH, threshold:
     Null ids and texts, and texts of fewer words than ``width``, are in no class. Ids are
     expected to be unique; repeated rows with one id and one text count once.
     """
-    sketches = saved(_sketches(documents, width, retained))
+    sketches = saved(_sketches(documents, width, retained, threshold))
     copies, sizes = _classes(sketches)
     # copies are the few; the sketches of all others stay where they are if the planner can broadcast them
     first = sketches.join(copies.select("doc_id"), "doc_id", "left_anti")
     alone = first.select("doc_id", F.col("doc_id").alias("class_id")).distinct()
     members = alone.unionByName(copies).join(sizes, "class_id", "left").select("doc_id", "class_id", F.coalesce("size", F.lit(1)).alias("size"))
-    listed = _listed(first, retained, threshold)
-    met = _met(_postings(listed), threshold)
-    close = saved(_estimated(met, first, threshold))
+    met = _met(_postings(first.select("doc_id", "n", "listed"), _KEY), threshold)
+    close = saved(_estimated(met, first, threshold, retained))
     return members, _verified(close, documents, width, threshold)
 
 
-def near_duplicate_pairs(documents: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, expand: int = 100) -> DataFrame:
+def near_duplicate_pairs(documents: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, expand: int | None = 100) -> DataFrame:
     """(doc_a, doc_b), doc_a < doc_b: all pairs of similar texts.
 
-    Classes of equal texts with up to ``expand`` members appear as all their pairs. A larger
-    class appears as its first member with each other one, and stands for its members in
+    Classes of equal texts with up to ``expand`` members appear as all their pairs, every class if it
+    is None. A larger class appears as its first member with each other one, and stands for its members in
     pairs with other classes, so that no link is lost and no group is squared.
     """
     members, pairs = near_duplicate_classes(documents, width, threshold)
     multiple = saved(members.where("size > 1"))
-    small = multiple.where(F.col("size") <= expand)
-    within = small.alias("l").join(small.alias("r"), (F.col("l.class_id") == F.col("r.class_id")) & (F.col("l.doc_id") < F.col("r.doc_id"))).select(F.col("l.doc_id").alias("doc_a"), F.col("r.doc_id").alias("doc_b"))
-    star = multiple.where((F.col("size") > expand) & (F.col("doc_id") != F.col("class_id"))).select(F.col("class_id").alias("doc_a"), F.col("doc_id").alias("doc_b"))
+    small = multiple if expand is None else multiple.where(F.col("size") <= expand)
+    pieces = F.ceil(F.col("size") / _MEMBERS).cast("int")  # of a large class, each paired by a task of its own
+    left = small.withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    right = small.withColumn("piece", F.pmod(F.xxhash64("doc_id"), pieces).cast("int"))
+    same = (F.col("l.class_id") == F.col("r.class_id")) & (F.col("l.piece") == F.col("r.piece"))
+    within = left.alias("l").join(right.alias("r"), same & (F.col("l.doc_id") < F.col("r.doc_id"))).select(F.col("l.doc_id").alias("doc_a"), F.col("r.doc_id").alias("doc_b"))
     # a class without copies stands for itself
     stand = lambda c: small.select(F.col("class_id").alias(c), F.col("doc_id").alias(f"{c}_doc"))
     across = (
@@ -313,4 +386,6 @@ def near_duplicate_pairs(documents: DataFrame, width: int = WIDTH, threshold: fl
         .select(F.coalesce("a_doc", "a").alias("x"), F.coalesce("b_doc", "b").alias("y"))
         .select(F.least("x", "y").alias("doc_a"), F.greatest("x", "y").alias("doc_b"))
     )
-    return within.union(star).union(across).distinct()
+    if expand is not None:
+        within = within.union(multiple.where((F.col("size") > expand) & (F.col("doc_id") != F.col("class_id"))).select(F.col("class_id").alias("doc_a"), F.col("doc_id").alias("doc_b")))
+    return within.union(across).distinct()

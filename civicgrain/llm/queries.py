@@ -26,7 +26,7 @@ def p1_repaired(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicate_pairs(texts(spark, folder), width=3, threshold=0.7)
+    return near_duplicate_pairs(texts(spark, folder), width=3, threshold=0.7, expand=None)
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:

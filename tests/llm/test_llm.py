@@ -113,6 +113,66 @@ def test_large_class_of_copies_is_a_star(spark):
     assert got == {(0, i) for i in range(1, 30)}
 
 
+def similar(rows, width, threshold):
+    grams = [(i, {tuple(w[k : k + width]) for k in range(len(w) - width + 1)}) for i, w in ((i, words(t)) for i, t in rows)]
+    return {(i, j) for n, (j, y) in enumerate(grams) for i, x in grams[:n] if x | y and len(x & y) >= threshold * len(x | y) - 1e-9}
+
+
+def test_short_texts_of_common_phrases_are_all_paired(spark):
+    """Notices of a few words, each with one word of its own: all they share is common to all of them."""
+    phrases = ["call to order and roll", "the board will meet today at noon", "minutes of the last meeting were read aloud by the clerk"]
+    texts = phrases + [f"{p} own{k}x{i}" for k, p in enumerate(phrases) for i in range(300)]
+    rows = list(enumerate(texts))
+    got = {(r.doc_a, r.doc_b) for r in near_duplicates.near_duplicate_pairs(frame(spark, rows), 3, 0.7).collect()}
+    assert got == similar(rows, 3, 0.7) and len(got) > 45_000
+
+
+def test_texts_that_share_one_sequence_are_paired(spark):
+    rows = [(0, "a b c"), (1, "a b c d"), (2, "x b c d"), (3, "e f g h")]
+    got = {(r.doc_a, r.doc_b) for r in near_duplicates.near_duplicate_pairs(frame(spark, rows), 3, 0.5).collect()}
+    assert got == similar(rows, 3, 0.5) == {(0, 1)}
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.7, 0.95, 1.0])
+def test_pieces_of_common_texts_are_all_paired(spark, threshold):
+    """Texts of every length that are pieces of few others: not one of their sequences is rare."""
+    rng = random.Random(31)
+    bases = [random_text(rng, 60, 10**6).split() for _ in range(2)]
+    texts = set()
+    for _ in range(700):
+        base, n = rng.choice(bases), rng.randint(3, 45)
+        at = rng.randint(0, len(base) - n)
+        texts.add(" ".join(base[at : at + n]))
+    rows = list(enumerate(sorted(texts)))
+    got = {(r.doc_a, r.doc_b) for r in near_duplicates.near_duplicate_pairs(frame(spark, rows), 3, threshold).collect()}
+    assert got == similar(rows, 3, threshold) and (len(got) > 200 or threshold == 1)
+
+
+@pytest.mark.parametrize("union", [11, 14, 40, 257, 400, 1500])
+@pytest.mark.parametrize("contained", [True, False])
+def test_similar_texts_meet_whatever_their_sizes(union, contained):
+    """At the threshold pairs meet as often as is reckoned: the fewest meetings of 300 pairs are far from one."""
+    rng = np.random.default_rng(union)
+    shared = -(-union * 7 // 10)
+    met = []
+    for _ in range(300):
+        found = rng.integers(0, 1 << 63, union, dtype=np.uint64)
+        half = shared + (0 if contained else (union - shared) // 2)
+        x, y = (found, found[:shared]) if contained else (found[:half], np.r_[found[:shared], found[half:]])
+        met.append(len(np.intersect1d(*(near_duplicates.entered(np.sort(t), 0.7, 100_000) for t in (x, y)))))
+    assert min(met) >= 2 and (np.mean(met) > 20 or max(len(x), len(y)) <= near_duplicates.scheme(0.7, 100_000)[0])
+
+
+def test_registered_query_pairs_all_copies(spark, tmp_path):
+    """The query's SQL gives every pair of equal texts, in a class of any size."""
+    from civicgrain.llm import queries
+
+    rows = [(i, "one two three four five six") for i in range(130)] + [(200 + i, "one two three four five six seven") for i in range(3)]
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r.doc_a, r.doc_b) for r in queries.QUERIES["p2_found"](spark, str(tmp_path)).collect()}
+    assert got == similar(rows, 3, 0.7) and len(got) == 133 * 132 // 2
+
+
 def union_find(links):
     parent = {}
 
