@@ -107,6 +107,23 @@ def test_long_lists_are_split(spark, monkeypatch):
     assert {(r.a, r.b) for r in near_duplicates._met(postings, 0.7).collect()} == {(i, j) for j in range(60) for i in range(j)}
 
 
+def test_lists_that_share_a_counter_are_not_split(spark):
+    """What a list is split by is its own length, so a text has one row for each short list however many lists there are."""
+    lists = [np.array([(i + 1) << 24], np.uint64) for i in range(600)]
+    rows = spark.createDataFrame([(i, 10, bytearray(x.tobytes())) for i, x in enumerate(lists)], "doc_id long, n int, listed binary")
+    assert near_duplicates._postings(rows).count() == 600
+
+
+def test_sampled_lengths_split_only_long_lists(spark, monkeypatch):
+    """Of more texts than are sampled, a long list is seen, and all its pairs come out with it."""
+    monkeypatch.setattr(near_duplicates, "_SAMPLED", 500)
+    lists = [np.array([7 << 24, 8 << 24, (i + 100) << 24], np.uint64) for i in range(1000)]
+    rows = spark.createDataFrame([(i, 10, bytearray(x.tobytes())) for i, x in enumerate(lists)], "doc_id long, n int, listed binary")
+    known, length = near_duplicates._long(rows, 8)
+    assert known.tolist() == [7 << 24, 8 << 24] and (abs(length - 1000) < 300).all()
+    assert near_duplicates._met(near_duplicates._postings(rows), 0.7).count() == 1000 * 999 // 2
+
+
 def test_large_class_of_copies_is_a_star(spark):
     rows = [(i, "one two three four five six") for i in range(30)]
     got = {(r.doc_a, r.doc_b) for r in near_duplicates.near_duplicate_pairs(frame(spark, rows), 3, 0.7, expand=10).collect()}
