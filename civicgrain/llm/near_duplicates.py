@@ -26,6 +26,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,7 @@ _SUBSETS = 200  # lists for parts of a text at most; texts that have more parts
 _SHORT, _PLACES = 256, 8  # texts of more sequences have that many windows in each order, so far apart that they hardly ever overlap
 _VALUES, _MOST = 5, 512  # sequences of a window, fewer if more lists than that were needed
 _KEY = 5  # bytes of a list's key that are kept, the high ones
+_AT_ONCE = 100  # lists of a text, more or less, that are on disk at once
 _BLOCK = 256  # texts of a list compared in one piece
 _SAMPLED, _SEEN = 10_000, 24  # texts long lists are looked for in, one in a hundred if that is more; times a list must be seen there
 _PAIRS = 1 << 20  # pairs sent on at once
@@ -199,10 +201,11 @@ def _long(listed: DataFrame, key: int) -> tuple[np.ndarray, np.ndarray]:
     return value.view(np.uint64)[order], np.ceil(n[order] / share).astype(np.int64)
 
 
-def _postings(listed: DataFrame, key: int = 8) -> DataFrame:
+def _postings(listed: DataFrame, key: int = 8, long: Broadcast | None = None, turn: int = 0, turns: int = 1) -> DataFrame:
     """(list, doc_id, n, side): lists by hash; a long one is cut into blocks, and a text enters
-    the list of its block with each block, on side 1 where its block is the later one."""
-    long = listed.sparkSession.sparkContext.broadcast(_long(listed, key))
+    the list of its block with each block, on side 1 where its block is the later one. Of
+    several ``turns`` each has the lists whose keys fall to it."""
+    long = long or listed.sparkSession.sparkContext.broadcast(_long(listed, key))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, length = long.value
@@ -213,6 +216,9 @@ def _postings(listed: DataFrame, key: int = 8) -> DataFrame:
             each = [len(x) // key for x in raw]
             value = _unpacked(raw, key)
             doc, n = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False), each) for c in (0, 1))
+            if turns > 1:
+                mine = (value >> np.uint64(64 - 8 * _KEY)) % np.uint64(turns) == turn
+                value, doc, n = value[mine], doc[mine], n[mine]
             blocks = np.ones(len(value), np.int64)
             if len(known):
                 at = np.minimum(np.searchsorted(known, value), len(known) - 1)
@@ -236,8 +242,8 @@ def _postings(listed: DataFrame, key: int = 8) -> DataFrame:
     return listed.select("doc_id", "n", "listed").mapInArrow(run, "list long, doc_id long, n int, side byte")
 
 
-def _met(postings: DataFrame, threshold: float) -> DataFrame:
-    """(a, b), a < b, of texts that meet in ``_MEETINGS`` lists and whose sizes allow the similarity."""
+def _meetings(postings: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, n), a < b: in how many lists texts meet whose sizes allow the similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = [np.empty(0, t) for t in (np.int64, np.int64, np.int32, np.int8)]
@@ -279,8 +285,24 @@ def _met(postings: DataFrame, threshold: float) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     ordered = postings.repartition("list").sortWithinPartitions("list")
-    met = ordered.mapInArrow(run, "a long, b long").groupBy("a", "b").agg(F.count("*").alias("n"))
-    return met.where(F.col("n") >= _MEETINGS).select("a", "b")
+    return ordered.mapInArrow(run, "a long, b long").groupBy("a", "b").agg(F.count("*").alias("n"))
+
+
+def _met(postings: DataFrame, threshold: float) -> DataFrame:
+    """(a, b), a < b, of texts that meet in ``_MEETINGS`` lists and whose sizes allow the similarity."""
+    return _meetings(postings, threshold).where(F.col("n") >= _MEETINGS).select("a", "b")
+
+
+def _met_in_turns(listed: DataFrame, threshold: float, turns: int) -> DataFrame:
+    """What ``_met`` gives for all lists, of which each turn sends its share and drops it before the next."""
+    spark = listed.sparkSession
+    long = spark.sparkContext.broadcast(_long(listed, _KEY))
+    parts = []
+    for turn in range(turns):
+        parts.append(saved(_meetings(_postings(listed, _KEY, long, turn, turns), threshold)))
+        spark._jvm.System.gc()  # shuffle files go when the driver finds that nothing refers to them
+    every = functools.reduce(DataFrame.unionByName, parts).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return every.where(F.col("n") >= _MEETINGS).select("a", "b")
 
 
 def _least_common(threshold: float, k: int) -> int:
@@ -359,7 +381,8 @@ def near_duplicate_classes(documents: DataFrame, width: int = WIDTH, threshold:
     first = sketches.join(copies.select("doc_id"), "doc_id", "left_anti")
     alone = first.select("doc_id", F.col("doc_id").alias("class_id")).distinct()
     members = alone.unionByName(copies).join(sizes, "class_id", "left").select("doc_id", "class_id", F.coalesce("size", F.lit(1)).alias("size"))
-    met = _met(_postings(first.select("doc_id", "n", "listed"), _KEY), threshold)
+    most = max(w.places * w.orders for w in scheme(threshold, documents.count())[1])
+    met = _met_in_turns(first.select("doc_id", "n", "listed"), threshold, -(-most // _AT_ONCE))
     close = saved(_estimated(met, first, threshold, retained))
     return members, _verified(close, documents, width, threshold)
 

@@ -124,6 +124,16 @@ def test_sampled_lengths_split_only_long_lists(spark, monkeypatch):
     assert near_duplicates._met(near_duplicates._postings(rows), 0.7).count() == 1000 * 999 // 2
 
 
+def test_meetings_are_added_over_turns(spark):
+    """Texts that meet once in each of two turns have met twice."""
+    pack = lambda keys: bytearray(b"".join(int(k).to_bytes(near_duplicates._KEY, "little") for k in keys))
+    rows = spark.createDataFrame([(1, 9, pack([10, 11])), (2, 9, pack([10, 11])), (3, 9, pack([10, 20])), (4, 9, pack([30, 33]))], "doc_id long, n int, listed binary")
+    for turns in (1, 2, 3):
+        assert [tuple(r) for r in near_duplicates._met_in_turns(rows, 0.7, turns).collect()] == [(1, 2)]
+    sent = [near_duplicates._postings(rows, near_duplicates._KEY, None, t, 2).count() for t in (0, 1)]
+    assert sent == [5, 3]
+
+
 def test_large_class_of_copies_is_a_star(spark):
     rows = [(i, "one two three four five six") for i in range(30)]
     got = {(r.doc_a, r.doc_b) for r in near_duplicates.near_duplicate_pairs(frame(spark, rows), 3, 0.7, expand=10).collect()}
